@@ -16,6 +16,7 @@ from subsmart.operators import quality, staging, usage
 from subsmart.operators.calendar import build_calendar, calendar_days, extend_calendar
 from subsmart.operators.dimensions import build_products, build_tiers
 from subsmart.operators.objects import object_counts_fact
+from subsmart.operators.replace import replace_by_key
 from subsmart.operators.spread import settle, shared_folder
 from subsmart.plans.build import Warehouse, stage_all
 from subsmart.plans.checks import CHECKS, ONLY_ROWS
@@ -339,13 +340,13 @@ def fact_financials_per_subscription(spark, folder):
 @query
 def replace_object_counts(spark, folder):
     """Days from 2000 on are delivered again, each with one more contact per row."""
-    objects, store = _objects(spark, folder), MartStore(spark, scratch_folder(spark))
-    store.replace("fact_object_counts", object_counts_fact(objects))
+    objects = _objects(spark, folder)
     corrected = objects.filter(F.col("date") >= F.lit(dt.date(2000, 1, 1))).withColumn(
         "total_contacts", F.col("total_contacts") + 1
     )
-    store.replace_partitions("fact_object_counts", object_counts_fact(corrected))
-    return store.read("fact_object_counts")
+    return replace_by_key(
+        object_counts_fact(objects), object_counts_fact(corrected), "usage_date"
+    )
 
 
 @query
