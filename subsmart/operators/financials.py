@@ -30,16 +30,14 @@ def subscription_events(
     subscriptions: DataFrame, tiers: DataFrame | Sized, products: DataFrame | Sized
 ) -> DataFrame:
     """Subscriptions with their tier and product keys; NULL where a dimension has none."""
-    tiers = tiers if isinstance(tiers, Sized) else sized(tiers)
-    products = products if isinstance(products, Sized) else sized(products)
     return (
         subscriptions.join(
-            tiers.frame,
+            sized(tiers).frame,
             (F.col("tier") == F.col("tier_name")) & (F.col("monthly_cost") == F.col("tier_price")),
             "left",
         )
         .drop("tier_name", "tier_price")
-        .join(products.frame, F.col("product") == F.col("product_name"), "left")
+        .join(sized(products).frame, F.col("product") == F.col("product_name"), "left")
         .drop("product_name")
     )
 
@@ -133,8 +131,8 @@ def monthly_churn(months: DataFrame) -> DataFrame:
 
 def financials_fact(
     subscriptions: DataFrame,
-    tiers: DataFrame,
-    products: DataFrame,
+    tiers: DataFrame | Sized,
+    products: DataFrame | Sized,
     calendar: DataFrame,
     open_until: dt.date | str | Column | None = None,
     days_grain: str = "account",
@@ -150,13 +148,17 @@ def financials_fact(
     _check_grain(days_grain)
     tiers, products = sized(tiers), sized(products)
     periods = distinct_periods(subscriptions, calendar, open_until)
-    months = subscription_months(subscription_events(periods, tiers, products))
-    cost, here = F.col("monthly_cost"), F.col("cancels_here")
-    # Weight of the prorated part: days of the row itself, or 1 with the days joined later.
-    own_days = F.col("days_covered") if days_grain == "subscription" else F.lit(1)
+    # Whole cents: exact in any order, and cheaper to add up than decimals.
+    priced = subscription_events(periods, tiers, products).withColumn(
+        "cents", (F.col("monthly_cost") * 100).cast("long")
+    )
+    months = subscription_months(priced)
+    cents, here = F.col("cents"), F.col("cancels_here")
+    # A cancelled row weighs its own days, or 1 while the account's days are yet to come.
+    part_cents = cents * F.col("days_covered") if days_grain == "subscription" else cents
     groups = months.groupBy("account_id", "financial_month", "product_id", "tier_id").agg(
-        F.sum(F.when(~here, cost)).alias("full_cost"),
-        F.sum(F.when(here, cost * own_days)).alias("cancelled_cost"),
+        F.sum(F.when(~here, cents)).alias("full_cents"),
+        F.sum(F.when(here, part_cents)).alias("cancelled_cents"),
         F.sum("days_covered").alias("days_covered"),
         F.max(here).alias("churns"),
     )
@@ -172,10 +174,9 @@ def financials_fact(
         weight = F.col("days_active").cast("double")
     else:
         weight = F.lit(1.0)
-    full = F.col("full_cost").cast("double")
-    part = F.col("cancelled_cost").cast("double") * (
-        weight / days_in_month(F.col("financial_month"))
-    )
+    full = F.col("full_cents") / 100
+    share = weight / days_in_month(F.col("financial_month"))
+    part = F.col("cancelled_cents") / 100 * share
     zero, present = F.lit(0.0), F.when(F.col("account_id").isNotNull(), 1).otherwise(0)
     return groups.select(
         "account_id",

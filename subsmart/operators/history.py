@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsmart.functions.dates import as_date, date_id
-from subsmart.operators.spread import sized
+from subsmart.operators.spread import Sized, sized
 from subsmart.schemas import MARTS
 
 ATTRIBUTES = ["name", "country", "vertical", "nps"]
@@ -45,17 +45,24 @@ def one_per_account(staged: DataFrame) -> DataFrame:
     )
 
 
-def with_signup_date_id(accounts: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Accounts whose first signup is a calendar day, with that day's id."""
-    days = calendar.select(
-        F.col("date_id").alias("signup_date_id"), F.col("full_date").alias("first_signup_date")
+def signup_days(calendar: DataFrame) -> Sized:
+    """Calendar days as a signup joins them; measure once, use for any number of batches."""
+    return sized(
+        calendar.select(
+            F.col("date_id").alias("signup_date_id"), F.col("full_date").alias("first_signup_date")
+        )
     )
-    return accounts.join(sized(days).frame, "first_signup_date").select(
+
+
+def with_signup_date_id(accounts: DataFrame, calendar: DataFrame | Sized) -> DataFrame:
+    """Accounts whose first signup is a calendar day, with that day's id."""
+    days = calendar if isinstance(calendar, Sized) else signup_days(calendar)
+    return accounts.join(days.frame, "first_signup_date").select(
         "account_id", "name", "signup_date_id", "country", "vertical", "nps"
     )
 
 
-def account_batch(staged: DataFrame, calendar: DataFrame) -> DataFrame:
+def account_batch(staged: DataFrame, calendar: DataFrame | Sized) -> DataFrame:
     """The account rows of one batch, ready to be applied to a history."""
     return with_signup_date_id(one_per_account(staged), calendar)
 

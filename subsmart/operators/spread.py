@@ -45,12 +45,17 @@ class Sized:
     rows: int | None
 
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> Sized:
+def sized(
+    df: DataFrame | Sized, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> Sized:
     """Measure ``df`` and mark it for broadcast only if it is within both bounds.
 
     The measurement stops at ``max_rows + 1`` rows. A larger side stays unmarked: its
     join then shuffles both sides and adaptive execution splits skewed partitions.
+    What was measured before is not measured again.
     """
+    if isinstance(df, Sized):
+        return df
     width = functools.reduce(
         operator.add,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns],
@@ -63,13 +68,6 @@ def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADC
     return Sized(F.broadcast(df), rows)
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
-    """Equality of column pairs in which NULL equals NULL."""
-    return functools.reduce(
-        operator.and_, (left[a].eqNullSafe(right[b]) for a, b in pairs.items())
-    )
-
-
 def group_total(
     df: DataFrame,
     keys: list[str],
@@ -87,11 +85,14 @@ def group_total(
     """
     if rows_bound is not None and rows_bound <= GROUP_ROWS:
         return df.withColumn(out, F.sum(value).over(Window.partitionBy(*keys)))
-    salted = df.withColumn("_piece", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    pieces = salted.groupBy(*keys, "_piece").agg(F.sum(value).alias("_part"))
+    # Fields of a struct compare NULL-safely, so plain equality also joins NULL keys.
+    salted = df.select(
+        "*",
+        F.struct(*keys).alias("_group"),
+        F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int").alias("_piece"),
+    ).repartition("_group", "_piece")
+    pieces = salted.groupBy("_group", "_piece").agg(F.sum(value).alias("_part"))
     totals = pieces.select(
-        *(F.col(c).alias(f"_t_{c}") for c in [*keys, "_piece"]),
-        F.sum("_part").over(Window.partitionBy(*keys)).alias(out),
+        "_group", "_piece", F.sum("_part").over(Window.partitionBy("_group")).alias(out)
     )
-    match = null_safe(salted, totals, {c: f"_t_{c}" for c in [*keys, "_piece"]})
-    return salted.join(totals, match).select(*df.columns, out)
+    return salted.join(totals, ["_group", "_piece"]).select(*df.columns, out)

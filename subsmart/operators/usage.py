@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subsmart.operators.spread import sized
+from subsmart.operators.spread import Sized, sized
 
 # The event types that count.
 USAGE, ACTIVATION = "Usage", "Activation"
@@ -22,7 +22,7 @@ def relevant_events(events: DataFrame) -> DataFrame:
     )
 
 
-def with_product(events: DataFrame, products: DataFrame) -> DataFrame:
+def with_product(events: DataFrame, products: DataFrame | Sized) -> DataFrame:
     """Each relevant event with its product key and day; unknown products drop out."""
     return events.join(sized(products).frame, "product_name").select(
         "account_id",
@@ -65,7 +65,7 @@ def daily_counts(events: DataFrame, user_col: str | None = None) -> DataFrame:
 
 
 def product_usage_fact(
-    staged: DataFrame, products: DataFrame, user_col: str | None = None
+    staged: DataFrame, products: DataFrame | Sized, user_col: str | None = None
 ) -> DataFrame:
     """Usage and activation counts by account, product and day.
 

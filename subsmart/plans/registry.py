@@ -97,10 +97,10 @@ def changed_accounts(accounts: DataFrame, batch: int) -> DataFrame:
 
 
 def _batches(spark, folder, count):
-    """The first ``count`` account batches over one settled calendar."""
-    calendar = settle(_calendar(spark, folder))
+    """The first ``count`` account batches over one calendar."""
+    days = hist.signup_days(settle(_calendar(spark, folder)))
     accounts = _accounts(spark, folder)
-    return [hist.account_batch(changed_accounts(accounts, i), calendar) for i in range(count)]
+    return [hist.account_batch(changed_accounts(accounts, i), days) for i in range(count)]
 
 
 # ---- staging and keys -----------------------------------------------------
