@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 GROUP_ROWS = 1_000_000
-SALTS = 256
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -78,21 +77,24 @@ def group_total(
 ) -> DataFrame:
     """``df`` with ``out`` = the sum of ``value`` over the rows sharing ``keys``.
 
-    With a proven ``rows_bound`` per group this is a window. Otherwise a group may
-    hold any share of the rows, so it is cut into ``SALTS`` pieces by a hash of
-    ``spread_by``: the pieces are summed first, the window sees at most ``SALTS`` rows
-    per group, and the join back meets one total per piece.
+    With a proven ``rows_bound`` per group this is a window. Otherwise the groups of
+    more than ``GROUP_ROWS`` rows are looked up first: their sums come from a partial
+    aggregation, there are at most rows / ``GROUP_ROWS`` of them, and their rows are then
+    cut by a hash of ``spread_by`` into windows of about ``GROUP_ROWS`` rows whose own
+    sums are not used.
     """
     if rows_bound is not None and rows_bound <= GROUP_ROWS:
         return df.withColumn(out, F.sum(value).over(Window.partitionBy(*keys)))
     # Fields of a struct compare NULL-safely, so plain equality also joins NULL keys.
-    salted = df.select(
-        "*",
-        F.struct(*keys).alias("_group"),
-        F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int").alias("_piece"),
-    ).repartition("_group", "_piece")
-    pieces = salted.groupBy("_group", "_piece").agg(F.sum(value).alias("_part"))
-    totals = pieces.select(
-        "_group", "_piece", F.sum("_part").over(Window.partitionBy("_group")).alias(out)
+    group = F.struct(*keys)
+    large = (
+        df.groupBy(*keys)
+        .agg(F.sum(value).alias("_total"), F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > GROUP_ROWS)
+        .select(group.alias("_group"), "_total", F.ceil(F.col("_rows") / GROUP_ROWS).alias("_cuts"))
     )
-    return salted.join(totals, ["_group", "_piece"]).select(*df.columns, out)
+    looked_up = df.join(sized(settle(large)).frame, group == F.col("_group"), "left")
+    piece = F.when(F.col("_cuts") > 1, F.pmod(F.xxhash64(*spread_by), F.col("_cuts")))
+    window = Window.partitionBy(*keys, F.coalesce(piece, F.lit(0)))
+    total = F.coalesce(F.col("_total"), F.sum(value).over(window))
+    return looked_up.withColumn(out, total).select(*df.columns, out)

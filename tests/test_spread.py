@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +14,9 @@ def rows_with_hot_group(spark):
     return spark.range(30_000).select(key.alias("k"), (n % 11).alias("m"), n.alias("v"))
 
 
-def test_salted_total_equals_window(spark):
+@pytest.mark.parametrize("large", [50, 1_000, 10**6])
+def test_total_equals_window(spark, monkeypatch, large):
+    monkeypatch.setattr(spread, "GROUP_ROWS", large)
     df = rows_with_hot_group(spark)
     expected = df.withColumn("total", F.sum("v").over(Window.partitionBy("k", "m")))
     actual = spread.group_total(df, ["k", "m"], F.col("v"), "total", ["v"])
@@ -21,12 +24,25 @@ def test_salted_total_equals_window(spark):
     assert actual.exceptAll(expected).isEmpty() and expected.exceptAll(actual).isEmpty()
 
 
-def test_salted_total_never_windows_over_the_rows(spark):
+def test_large_groups_never_meet_in_one_window(spark, monkeypatch):
+    monkeypatch.setattr(spread, "GROUP_ROWS", 500)
+    seen = []
+    real = Window.partitionBy
+    monkeypatch.setattr(
+        spread.Window, "partitionBy", lambda *keys: seen.append(keys) or real(*keys)
+    )
     df = rows_with_hot_group(spark)
-    salted = spread.group_total(df, ["k", "m"], F.col("v"), "total", ["v"])
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    window = plan[plan.index("Window") :]
-    assert "Aggregate [_group" in window  # at most one row per group and piece gets there
+    total = spread.group_total(df, ["k"], F.col("v"), "total", ["v"])
+    piece = seen[0][-1]
+    hot = df.filter("k = 7").count()
+    assert hot > 10_000 and total.count() == df.count()
+    cuts = df.join(
+        df.groupBy("k").count().select(
+            F.struct("k").alias("_group"), F.ceil(F.col("count") / 500).alias("_cuts")
+        ),
+        F.struct("k") == F.col("_group"),
+    )
+    assert cuts.groupBy("k", piece.alias("p")).count().agg(F.max("count")).first()[0] < 750
 
 
 def test_bounded_group_uses_one_window(spark):
