@@ -50,8 +50,8 @@ def distinct_periods(
     """Distinct subscriptions with the calendar days they cover as ``first_day``..``last_day``.
 
     A subscription without cancel date covers nothing, unless ``open_until`` says how
-    far active ones run; ``cancel_date`` itself stays NULL for the churn test. Copies
-    collapse map-side before the shuffle.
+    far active ones run; ``cancel_date`` itself stays NULL for the churn test. Periods
+    outside the calendar drop out and copies collapse before anything is shuffled.
     """
     until = F.col("cancel_date")
     if open_until is not None:
@@ -59,13 +59,16 @@ def distinct_periods(
     calendar_first = calendar.agg(F.min("full_date")).scalar()
     calendar_last = calendar.agg(F.max("full_date")).scalar()
     return (
-        subscriptions.select(*PERIOD, until.alias("_until"))
+        subscriptions.select(
+            *PERIOD,
+            F.greatest("start_date", calendar_first).alias("first_day"),
+            F.least(until, calendar_last).alias("last_day"),
+            until.alias("_until"),
+        )
         .filter(F.col("start_date") <= F.col("_until"))
-        .distinct()
-        .withColumn("first_day", F.greatest("start_date", calendar_first))
-        .withColumn("last_day", F.least("_until", calendar_last))
         .filter(F.col("first_day") <= F.col("last_day"))
         .drop("_until")
+        .distinct()
     )
 
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subsmart.functions.dates import as_date
+from subsmart.functions.dates import as_date, month_start
 from subsmart.operators import staging
 from subsmart.operators.calendar import FIRST_DAY, build_calendar, extend_calendar
 from subsmart.operators.dimensions import build_products, build_tiers
@@ -33,6 +33,11 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.history.read() if name == "dim_accounts" else self.store.read(name)
 
+    def create_views(self) -> None:
+        """Temporary views over all marts, for SQL."""
+        for name in ORDER:
+            self.read(name).createOrReplaceTempView(name)
+
     def run_all(
         self,
         sources: RawSources,
@@ -45,9 +50,9 @@ class Warehouse:
         """Build every mart, or those in ``only``, with the calendar reaching past ``as_of``.
 
         A fact that exists already gets the keys of the batch replaced; ``full_refresh``
-        rewrites it. ``since`` limits the usage and object-count input of an incremental
-        run to rows from that day on. The account history always advances by one batch;
-        its versions cannot be rebuilt from the current sources.
+        rewrites it. ``since`` limits an incremental run to the days from then on, and
+        to whole months for financials. The account history always advances by one
+        batch; its versions cannot be rebuilt from the current sources.
         """
         wanted = set(ORDER if only is None else only)
         unknown = wanted - set(ORDER)
@@ -87,19 +92,24 @@ class Warehouse:
         self._fact("fact_product_usage", product_usage_fact(rows, products), full_refresh)
 
     def _financials(self, staged, as_of, start, full_refresh, since) -> None:
+        calendar = self.store.read("dim_dates")
+        if self._limited("fact_financials", full_refresh, since):
+            calendar = calendar.filter(F.col("full_date") >= month_start(as_date(since)))
         fact = financials_fact(
             staged["subscriptions"],
             self.store.read("dim_tiers"),
             self.store.read("dim_products"),
-            self.store.read("dim_dates"),
+            calendar,
         )
         self._fact("fact_financials", fact, full_refresh)
 
     def _input(self, staged, source, fact, full_refresh, since) -> DataFrame:
-        rows = staged[source]
-        if since is None or full_refresh or not self.store.exists(fact):
-            return rows
-        return rows.filter(F.col(FACT_INPUT_DATE[source]) >= as_date(since))
+        if not self._limited(fact, full_refresh, since):
+            return staged[source]
+        return staged[source].filter(F.col(FACT_INPUT_DATE[source]) >= as_date(since))
+
+    def _limited(self, fact, full_refresh, since) -> bool:
+        return since is not None and not full_refresh and self.store.exists(fact)
 
     def _fact(self, name: str, df: DataFrame, full_refresh: bool) -> None:
         if full_refresh or not self.store.exists(name):
@@ -120,6 +130,20 @@ BUILDERS = {
 ORDER = list(BUILDERS)
 
 
+STAGING_VIEWS = {
+    "accounts": "stg_accounts",
+    "subscriptions": "stg_subscriptions",
+    "usage_events": "stg_usage_events",
+    "object_counts_daily": "stg_object_counts_daily",
+}
+
+
+def create_staging_views(sources: RawSources) -> None:
+    """Temporary views over the staged sources, for SQL."""
+    for source, df in stage_all(sources).items():
+        df.createOrReplaceTempView(STAGING_VIEWS[source])
+
+
 def stage_all(sources: RawSources) -> dict[str, DataFrame]:
     """The four staging views."""
     return {

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from helpers import accounts, object_counts, subscriptions, usage_events
 
-from subsmart.plans.build import ORDER, Warehouse
+from subsmart.plans.build import ORDER, Warehouse, create_staging_views
 from subsmart.sources.samples import RawSources
 
 EVENTS = [(1, 1, 1, "2020-01-01T08:00:00", "A", "Usage"), (1, 1, 2, "2020-01-02T08:00:00", "A", "Usage")]
@@ -71,6 +71,33 @@ def test_since_limits_the_incremental_input(spark, tmp_path):
     assert [r.total_contacts for r in rows] == [5, 600]
 
 
+def test_since_recomputes_whole_months_of_financials(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.run_all(sources(spark), dt.date(2020, 3, 1))
+    periods = [
+        (1, "2020-01-01", "2020-02-10", "A", "Pro", "58.00"),
+        (1, "2020-01-01", "2020-01-05", "A", "Pro", "29.00"),
+    ]
+    marts = ["dim_tiers", "fact_financials"]
+    warehouse.run_all(
+        sources(spark, periods=periods), dt.date(2020, 3, 1), only=marts, since="2020-02-20"
+    )
+    rows = warehouse.read("fact_financials").orderBy("financial_month").collect()
+    assert [(r.financial_month.month, r.total_revenue) for r in rows] == [(1, 29.0), (2, 20.0)]
+
+
+def test_views_serve_sql(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.run_all(sources(spark), dt.date(2020, 3, 1))
+    warehouse.create_views()
+    create_staging_views(sources(spark))
+    row = spark.sql(
+        "select sum(total_revenue) from fact_financials join dim_products using (product_id)"
+        " where account_id in (select account_id from stg_subscriptions)"
+    ).first()
+    assert row[0] == 39.0
+
+
 def test_unknown_mart_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="no such mart: dim_users"):
         Warehouse(spark, str(tmp_path)).run_all(sources(spark), dt.date(2020, 1, 1), only=["dim_users"])
