@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from subsmart.operators.replace import replace_by_key
 from subsmart.operators.spread import settle, shared_folder
 from subsmart.plans.build import Warehouse, stage_all
 from subsmart.plans.checks import CHECKS, ONLY_ROWS
+from subsmart.session import fit_shuffles
 from subsmart.sources import samples
 from subsmart.sources.store import MartStore
 
@@ -31,8 +33,15 @@ BATCH_DAYS = [dt.date(2002, 1, 1), dt.date(2003, 1, 1), dt.date(2004, 1, 1)]
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    """Register ``build``; running it first fits the shuffles to the input folder."""
+
+    @functools.wraps(build)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        fit_shuffles(spark, folder)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def scratch_folder(spark: SparkSession) -> str:

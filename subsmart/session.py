@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from subsmart.sources.files import folder_bytes
+
 # Adaptive execution sizes shuffle partitions, converts joins of small sides and
 # splits skewed ones, so the settings below hold from local[8] to a cluster.
 SETTINGS = {
@@ -16,6 +18,25 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Input per shuffle partition, and the most partitions a shuffle gets.
+SHUFFLE_BYTES = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def fit_shuffles(spark: SparkSession, *locations: str) -> int:
+    """Raise the number of shuffle partitions to suit the input at ``locations``.
+
+    Adaptive execution merges partitions that turn out small but cannot add any, so
+    the number must follow the input; it is never lowered.
+    """
+    key = "spark.sql.shuffle.partitions"
+    configured = int(spark.conf.get(key))
+    wanted = sum(folder_bytes(spark, location) for location in locations) // SHUFFLE_BYTES
+    chosen = max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    if chosen != configured:
+        spark.conf.set(key, str(chosen))
+    return chosen
+
 
 def local_session(cores: str = "8", app: str = "subsmart", **extra: str) -> SparkSession:
     """A local session for tests and the benchmark."""

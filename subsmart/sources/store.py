@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subsmart.schemas import MARTS, REPLACE_KEYS
+from subsmart.sources.files import children, exists
 
 
 class MartStore:
@@ -27,7 +28,7 @@ class MartStore:
         return "/".join([self.root, *parts])
 
     def exists(self, name: str) -> bool:
-        return _exists(self.spark, self.path(name))
+        return exists(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
         """The mart, or an empty one with its schema where none was written yet."""
@@ -80,10 +81,10 @@ class HistoryStore:
 
     def batches(self) -> list[int]:
         """Day ids of the finished batches, oldest first."""
-        if not _exists(self.spark, self.root):
+        if not exists(self.spark, self.root):
             return []
-        names = [n for n in _children(self.spark, self.root) if n.startswith("as_of=")]
-        done = [n for n in names if _exists(self.spark, f"{self.root}/{n}/_SUCCESS")]
+        names = [n for n in children(self.spark, self.root) if n.startswith("as_of=")]
+        done = [n for n in names if exists(self.spark, f"{self.root}/{n}/_SUCCESS")]
         return sorted(int(name.split("=")[1]) for name in done)
 
     def current(self, before: int | None = None) -> DataFrame:
@@ -118,18 +119,3 @@ class HistoryStore:
 def _not_null(key: str, table: str):
     message = F.lit(f"{table}: NULL in replace key {key}")
     return F.when(F.col(key).isNull(), F.raise_error(message).cast("date")).otherwise(F.col(key))
-
-
-def _file_system(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, location = _file_system(spark, path)
-    return files.exists(location)
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    files, location = _file_system(spark, path)
-    return [status.getPath().getName() for status in files.listStatus(location)]
