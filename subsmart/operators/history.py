@@ -67,18 +67,25 @@ def account_batch(staged: DataFrame, calendar: DataFrame | Sized) -> DataFrame:
     return with_signup_date_id(one_per_account(staged), calendar)
 
 
+def _same(left: str, right: str) -> Column:
+    """Whether two versions agree in every tracked attribute; NULL equals NULL."""
+    pairs = (F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in TRACKED)
+    return functools.reduce(operator.and_, pairs)
+
+
 def changed_rows(batch: DataFrame, history: DataFrame) -> DataFrame:
     """Batch rows that differ from the current version, new accounts included.
 
-    NULL equals NULL, so an attribute that stays unknown is not a change.
+    An anti join that hashes the account alone: both sides have one row per account, so
+    the batch keeps the partitioning it was deduplicated in.
     """
     current = history.filter("is_current").select(
-        *(F.col(name).alias(f"_c_{name}") for name in ["account_id", *TRACKED])
+        F.col("account_id").alias("_key"), F.struct(*TRACKED).alias("old")
     )
-    same = functools.reduce(
-        operator.and_, (batch[name].eqNullSafe(current[f"_c_{name}"]) for name in TRACKED)
+    known = batch.withColumn("new", F.struct(*TRACKED)).join(
+        current, F.col("account_id") == F.col("_key"), "left"
     )
-    return batch.join(current, (batch["account_id"] == current["_c_account_id"]) & same, "left_anti")
+    return known.filter(F.col("_key").isNull() | ~_same("old", "new")).select(*batch.columns)
 
 
 def first_versions(batch: DataFrame) -> DataFrame:
@@ -107,9 +114,7 @@ def advance_current(current: DataFrame, batch: DataFrame, as_of: dt.date | str |
     pair = old.join(new, F.col("_key") == F.col("account_id"), "full_outer")
 
     is_new = F.col("_key").isNull()
-    differs = F.col("new").isNotNull() & F.col("old").isNotNull() & ~functools.reduce(
-        operator.and_, (F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in TRACKED)
-    )
+    differs = F.col("new").isNotNull() & F.col("old").isNotNull() & ~_same("old", "new")
     replaces = F.col("old.start_date_id") >= today
     kept = F.when(~is_new & ~differs, F.col("old"))
     closed = F.when(differs & ~replaces, _version("old", end=today))

@@ -78,3 +78,47 @@ def test_closed_versions_are_not_shuffled(spark):
     text = after._jdf.queryExecution().optimizedPlan().toString()
     closed = text[: text.index("Generate")]
     assert "Union" in closed and "Join" not in closed
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """No broadcasts, and partitions count as skewed at test size."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_product_is_split_when_dimensions_outgrow_a_broadcast(small_skew_limits):
+    spark = small_skew_limits
+    from pyspark.sql import functions as F
+
+    from subsmart.operators.dimensions import build_products
+    from subsmart.operators.spread import Sized, settle
+    from subsmart.operators.usage import with_product
+
+    # Half of the events name one product.
+    product = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 500))
+    events = spark.range(60_000).select(
+        F.col("id").alias("account_id"),
+        F.col("id").alias("user_id"),
+        product.alias("product"),
+        product.alias("product_name"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("event_time"),
+        F.lit("Usage").alias("event_type"),
+    ).repartition(8, "account_id")
+    unmarked = Sized(settle(build_products(events)), None)
+    joined = with_product(events, unmarked)
+    assert len(joined.collect()) == 60_000
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in text
