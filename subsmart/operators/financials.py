@@ -149,7 +149,7 @@ def financials_fact(
     shrinks to its product-tier-month groups in every task.
     """
     _check_grain(days_grain)
-    tiers, products = sized(tiers), sized(products)
+    tiers, products = _without_copies(tiers), _without_copies(products)
     periods = distinct_periods(subscriptions, calendar, open_until)
     # Whole cents: exact in any order, and cheaper to add up than decimals.
     priced = subscription_events(periods, tiers, products).withColumn(
@@ -193,6 +193,11 @@ def financials_fact(
     )
 
 
+def _without_copies(dimension: DataFrame | Sized) -> Sized:
+    """Repeated dimension rows must not multiply subscriptions; measured ones are trusted."""
+    return dimension if isinstance(dimension, Sized) else sized(dimension.distinct())
+
+
 def _combinations(tiers: Sized, products: Sized) -> int | None:
     """Most product-tier groups an account can have in a month, NULL keys included."""
     if tiers.rows is None or products.rows is None:

@@ -6,8 +6,8 @@ derived batch by batch, and every check counts its own failures.
 
 from __future__ import annotations
 
-from subsmart.plans.checks import CHECKS
 from subsmart.operators.quality import EXPRESSION, NOT_NULL, NOT_NULL_WHERE, RELATIONSHIPS, UNIQUE
+from subsmart.plans.checks import CHECKS
 from subsmart.schemas import OBJECT_TOTALS
 
 # Relations that later ones and the queries refer to, in dependency order.
@@ -33,7 +33,8 @@ RELATIONS: dict[str, str] = {
                cast(case o_orderpriority when '1-URGENT' then 1200 when '2-HIGH' then 450.5
                     when '3-MEDIUM' then 20 when '5-LOW' then 0 end as decimal(10,2)) as monthly_cost,
                o_orderkey % 2 = 0 as touchless_conversion
-        from (select * from orders union all select * from orders where o_orderkey % 50 = 0)""",
+        from (select *, unnest(case when o_orderkey % 50 = 0 then [1, 2] else [1] end) as copy
+              from orders)""",
     "usage_events": """
         select user_id % 50 as account_id, user_id, event_id, ts as event_time,
                case event_id % 6 when 0 then 'Marketing' when 1 then 'Sales' when 2 then 'Service'
@@ -234,7 +235,7 @@ def _checks(*kinds: str) -> str:
     )
 
 
-def _replaced(fresh_where: str, old: str, new: str, key: str, extra: dict[str, str]) -> str:
+def _replaced(old: str, new: str, key: str, extra: dict[str, str]) -> str:
     return _with(
         f"""select * from new_rows union all
             select * from old_rows where {key} not in (select {key} from new_rows)""",
@@ -334,7 +335,6 @@ ORACLES: dict[str, str] = {
     "fact_financials_open": _fact("shared_revenue", until="coalesce(cancel_date, last_order)"),
     "fact_financials_per_subscription": _fact("own_revenue"),
     "replace_object_counts": _replaced(
-        "",
         OBJECT_DAY.format(source="object_counts_daily"),
         OBJECT_DAY.format(source="corrected"),
         "usage_date",
@@ -345,7 +345,6 @@ ORACLES: dict[str, str] = {
         },
     ),
     "replace_product_usage": _replaced(
-        "",
         USAGE_DAY.format(who="account_id", events="usage_events"),
         USAGE_DAY.format(who="account_id", events="corrected"),
         "usage_date_day",

@@ -18,7 +18,7 @@ from subsmart.operators.calendar import build_calendar, calendar_days, extend_ca
 from subsmart.operators.dimensions import build_products, build_tiers
 from subsmart.operators.objects import object_counts_fact
 from subsmart.operators.replace import replace_by_key
-from subsmart.operators.spread import settle, shared_folder
+from subsmart.operators.spread import settle, shared_folder, sized
 from subsmart.plans.build import Warehouse, stage_all
 from subsmart.plans.checks import CHECKS, ONLY_ROWS
 from subsmart.session import fit_shuffles
@@ -86,12 +86,12 @@ def _calendar(spark, folder):
     return build_calendar(spark, _last_event_day(spark, folder), _first_year(spark, folder))
 
 
-def _tiers(spark, folder):
-    return settle(build_tiers(_subscriptions(spark, folder)))
+def _tiers(subscriptions):
+    return sized(settle(build_tiers(subscriptions)))
 
 
-def _products(spark, folder):
-    return settle(build_products(_events(spark, folder)))
+def _products(events):
+    return sized(settle(build_products(events)))
 
 
 def changed_accounts(accounts: DataFrame, batch: int) -> DataFrame:
@@ -255,26 +255,28 @@ def usage_event_filter(spark, folder):
 
 @query
 def usage_with_product(spark, folder):
-    events = usage.relevant_events(_events(spark, folder))
-    return usage.with_product(events, _products(spark, folder))
+    events = _events(spark, folder)
+    return usage.with_product(usage.relevant_events(events), _products(events))
 
 
 @query
 def fact_product_usage(spark, folder):
-    return usage.product_usage_fact(_events(spark, folder), _products(spark, folder))
+    events = _events(spark, folder)
+    return usage.product_usage_fact(events, _products(events))
 
 
 @query
 def fact_product_usage_users(spark, folder):
     events = _events(spark, folder)
-    return usage.product_usage_fact(events, _products(spark, folder), user_col="user_id")
+    return usage.product_usage_fact(events, _products(events), user_col="user_id")
 
 
 @query
 def subscription_events(spark, folder):
-    return fin.subscription_events(
-        _subscriptions(spark, folder), _tiers(spark, folder), _products(spark, folder)
-    ).drop("touchless_conversion")
+    subscriptions, products = _subscriptions(spark, folder), _products(_events(spark, folder))
+    return fin.subscription_events(subscriptions, _tiers(subscriptions), products).drop(
+        "touchless_conversion"
+    )
 
 
 def _periods(spark, folder):
@@ -312,14 +314,10 @@ def financials_churn(spark, folder):
     return fin.monthly_churn(fin.subscription_months(_periods(spark, folder)))
 
 
-def _financials(spark, folder, subscriptions=None, **options):
-    return fin.financials_fact(
-        _subscriptions(spark, folder) if subscriptions is None else subscriptions,
-        _tiers(spark, folder),
-        _products(spark, folder),
-        _calendar(spark, folder),
-        **options,
-    )
+def _financial_inputs(spark, folder):
+    """Staged subscriptions, tiers, products and calendar."""
+    subscriptions, events = _subscriptions(spark, folder), _events(spark, folder)
+    return subscriptions, _tiers(subscriptions), _products(events), _calendar(spark, folder)
 
 
 def _rounded(fact):
@@ -329,18 +327,20 @@ def _rounded(fact):
 
 @query
 def fact_financials(spark, folder):
-    return _rounded(_financials(spark, folder))
+    return _rounded(fin.financials_fact(*_financial_inputs(spark, folder)))
 
 
 @query
 def fact_financials_open(spark, folder):
     """Active subscriptions run up to the last order day."""
-    return _rounded(_financials(spark, folder, open_until=_last_order_day(spark, folder)))
+    until = _last_order_day(spark, folder)
+    return _rounded(fin.financials_fact(*_financial_inputs(spark, folder), open_until=until))
 
 
 @query
 def fact_financials_per_subscription(spark, folder):
-    return _rounded(_financials(spark, folder, days_grain="subscription"))
+    inputs = _financial_inputs(spark, folder)
+    return _rounded(fin.financials_fact(*inputs, days_grain="subscription"))
 
 
 # ---- incremental replacement ----------------------------------------------
@@ -362,7 +362,7 @@ def replace_object_counts(spark, folder):
 def replace_product_usage(spark, folder):
     """From 2024-01-16 on every usage event turns out to be an activation."""
     events, store = _events(spark, folder), MartStore(spark, scratch_folder(spark))
-    products = _products(spark, folder)
+    products = _products(events)
     store.replace("fact_product_usage", usage.product_usage_fact(events, products))
     corrected = events.filter(
         F.col("event_time") >= F.lit(dt.date(2024, 1, 16)).cast("timestamp_ntz")
@@ -374,10 +374,11 @@ def replace_product_usage(spark, folder):
 @query
 def replace_financials(spark, folder):
     """Months touched by subscriptions started from 2000 on are replaced by those alone."""
-    subscriptions, store = _subscriptions(spark, folder), MartStore(spark, scratch_folder(spark))
-    store.replace("fact_financials", _financials(spark, folder))
+    subscriptions, *dimensions = _financial_inputs(spark, folder)
+    store = MartStore(spark, scratch_folder(spark))
+    store.replace("fact_financials", fin.financials_fact(subscriptions, *dimensions))
     recent = subscriptions.filter(F.col("start_date") >= F.lit(dt.date(2000, 1, 1)))
-    store.replace_partitions("fact_financials", _financials(spark, folder, recent))
+    store.replace_partitions("fact_financials", fin.financials_fact(recent, *dimensions))
     return _rounded(store.read("fact_financials"))
 
 

@@ -78,6 +78,19 @@ def test_copies_of_a_subscription_count_once(spark):
     assert months(fact(spark, [row] * 5)) == [("2000-01", 10.0, 1)]
 
 
+def test_repeated_tier_rows_do_not_multiply_revenue(spark):
+    subs = subscriptions(
+        spark, [(a, "2000-01-01", "2000-02-10", "A", "Pro", "29.00") for a in (1, 2, 3)]
+    )
+    calendar = build_calendar(spark, "2001-06-30")
+    products = build_products(usage_events(spark, [(1, 1, 1, "2000-01-01T00:00:00", "A", "Usage")]))
+    one = fin.financials_fact(subs, build_tiers(subs), products, calendar)
+    many = fin.financials_fact(subs, build_tiers(subs, dedupe=False), products, calendar)
+    assert collected(many, "account_id", "financial_month") == collected(
+        one, "account_id", "financial_month"
+    )
+
+
 def test_missing_tier_and_unused_product(spark):
     rows = [
         (1, "2000-01-01", "2000-02-10", "Z", "Pro", "31.00"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from helpers import accounts, collected
@@ -115,6 +116,34 @@ def test_batches_chain_and_repeat(spark, folder):
     assert chain.exceptAll(history).isEmpty() and history.exceptAll(chain).isEmpty()
 
 
+def test_random_batches_equal_a_plain_computation(spark, calendar, tmp_path):
+    pick = random.Random(3)
+    signup = {i: f"2001-{pick.randrange(1, 13):02d}-15" for i in range(25)}
+    expected, store = {}, HistoryStore(spark, str(tmp_path / "accounts"))
+    for day in [dt.date(2001, 12, 31), *DAYS]:
+        rows = [
+            (i, "n", signup[i], pick.choice(["FR", None]), pick.choice("xy"), pick.choice([1, None]))
+            for i in signup
+            if pick.random() < 0.8
+        ]
+        today = int(day.strftime("%Y%m%d"))
+        for i, _, start, *values in rows:
+            known = expected.setdefault(i, [])
+            if not known:
+                known.append([values, int(start.replace("-", "")), None])
+            elif known[-1][0] != values:
+                known[-1][2] = today
+                known.append([values, today, None])
+        store.write(hist.advance_current(store.current(), batch(spark, calendar, rows), day), day)
+    actual = {}
+    for r in store.read().orderBy("account_id", "start_date_id").collect():
+        assert r.is_current == (r.end_date_id is None)
+        actual.setdefault(r.account_id, []).append(
+            [[r.country, r.vertical, r.nps], r.start_date_id, r.end_date_id]
+        )
+    assert actual == expected
+
+
 def test_stored_history_equals_the_frames(spark, folder, tmp_path):
     first, *later = registry._batches(spark, folder, 3)
     store = HistoryStore(spark, str(tmp_path / "accounts"))
