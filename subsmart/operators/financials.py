@@ -20,7 +20,8 @@ from subsmart.functions.dates import (
     month_ordinal,
     month_start,
 )
-from subsmart.operators.spread import Sized, group_total, sized
+from subsmart.operators import spread
+from subsmart.operators.spread import Sized, group_total, shuffle_partitions, sized, split_hot
 
 PERIOD = ["account_id", "product", "tier", "monthly_cost", "start_date", "cancel_date"]
 GRAINS = ("account", "subscription")
@@ -42,16 +43,15 @@ def subscription_events(
     )
 
 
-def distinct_periods(
+def covered_periods(
     subscriptions: DataFrame,
     calendar: DataFrame,
     open_until: dt.date | str | Column | None = None,
 ) -> DataFrame:
-    """Distinct subscriptions with the calendar days they cover as ``first_day``..``last_day``.
+    """Subscriptions with the calendar days they cover as ``first_day``..``last_day``.
 
     A subscription without cancel date covers nothing, unless ``open_until`` says how
-    far active ones run; ``cancel_date`` itself stays NULL for the churn test. Periods
-    outside the calendar drop out and copies collapse before anything is shuffled.
+    far active ones run; ``cancel_date`` itself stays NULL for the churn test.
     """
     until = F.col("cancel_date")
     if open_until is not None:
@@ -68,10 +68,18 @@ def distinct_periods(
         .filter(F.col("start_date") <= F.col("_until"))
         .filter(F.col("first_day") <= F.col("last_day"))
         .drop("_until")
-        .distinct()
     )
 
 
+def distinct_periods(
+    subscriptions: DataFrame,
+    calendar: DataFrame,
+    open_until: dt.date | str | Column | None = None,
+) -> DataFrame:
+    """Distinct covered periods; copies collapse before anything is shuffled."""
+    return covered_periods(subscriptions, calendar, open_until).distinct()
+
+
 def subscription_days(periods: DataFrame) -> DataFrame:
     """One row per distinct subscription and calendar day it covers."""
     return periods.withColumn(
@@ -142,15 +150,40 @@ def financials_fact(
 ) -> DataFrame:
     """Revenue, active and churned subscriptions by account, product, tier and month.
 
-    ``days_active`` is the same for all rows of an account and month, so costs are
-    summed per group first, prorated and full ones apart, and the ratio is applied to
-    the sums. Subscription rows are therefore shuffled once, as distinct periods;
-    everything after is partially aggregated before it moves, so a hot account
-    shrinks to its product-tier-month groups in every task.
+    Nearly all accounts are small, so their periods are shuffled by account once, as
+    they come from the scan. Removing copies, exploding months, adding up and the
+    window over an account's month then all happen where the rows lie, and the month
+    rows, the bulk of the data, never move.
+
+    Accounts of more than ``GROUP_ROWS`` subscriptions would fill a task. They are
+    split off and take the way through partial aggregation, in which such an account
+    shrinks to its product-tier-month groups before each shuffle.
     """
     _check_grain(days_grain)
     tiers, products = _without_copies(tiers), _without_copies(products)
-    periods = distinct_periods(subscriptions, calendar, open_until)
+    small, large = split_hot(covered_periods(subscriptions, calendar, open_until), "account_id")
+    # A fixed number: the rows grow after this shuffle, so partitions must not be merged.
+    by_account = small.repartition(shuffle_partitions(small.sparkSession), "account_id")
+    fact = _monthly_revenue(
+        by_account.distinct(), tiers, products, days_grain, spread.GROUP_ROWS
+    )
+    if large is None:
+        return fact
+    bound = _combinations(tiers, products)
+    return fact.unionByName(
+        _monthly_revenue(large.distinct(), tiers, products, days_grain, bound)
+    )
+
+
+def _monthly_revenue(
+    periods: DataFrame, tiers: Sized, products: Sized, days_grain: str, rows_bound: int | None
+) -> DataFrame:
+    """The fact of distinct ``periods``, at most ``rows_bound`` groups per account and month.
+
+    ``days_active`` is the same for all rows of an account and month, so costs are
+    summed per group first, prorated and full ones apart, and the ratio is applied to
+    the sums.
+    """
     # Whole cents: exact in any order, and cheaper to add up than decimals.
     priced = subscription_events(periods, tiers, products).withColumn(
         "cents", (F.col("monthly_cost") * 100).cast("long")
@@ -172,7 +205,7 @@ def financials_fact(
             F.col("days_covered"),
             "days_active",
             ["product_id", "tier_id"],
-            rows_bound=_combinations(tiers, products),
+            rows_bound,
         )
         weight = F.col("days_active").cast("double")
     else:

@@ -68,6 +68,30 @@ def sized(
     return Sized(F.broadcast(df), rows)
 
 
+def split_hot(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` without and with the rows whose ``key`` occurs more than ``GROUP_ROWS`` times.
+
+    The second frame is None if there are none. Keys are counted with partial
+    aggregation over the key column alone, and NULL counts as a key.
+    """
+    hot = sized(
+        settle(
+            df.groupBy(F.col(key).alias("_hot"))
+            .count()
+            .filter(F.col("count") > GROUP_ROWS)
+            .select("_hot")
+        )
+    )
+    if hot.rows == 0:
+        return df, None
+    match = F.col(key).eqNullSafe(F.col("_hot"))
+    return df.join(hot.frame, match, "left_anti"), df.join(hot.frame, match, "left_semi")
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def group_total(
     df: DataFrame,
     keys: list[str],

@@ -145,14 +145,14 @@ def by_day(rows, first, last, known):
         total = totals[account, product if product in known else None, offer, month]
         if cost is not None:
             total[0] = (total[0] or 0) + float(cost) * share
-        total[1] = max(total[1], int(here))
+        total[1] = max(total[1], int(here and account is not None))
     return {k: (v[0] and round(v[0], 4), v[1]) for k, v in totals.items()}
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_random_subscriptions_equal_the_daily_computation(spark, monkeypatch, bounded):
-    if not bounded:  # no proof of small groups: every group counts as a large one
-        monkeypatch.setattr(spread, "GROUP_ROWS", 1)
+@pytest.mark.parametrize("large", [1, 50, 10**6])
+def test_random_subscriptions_equal_the_daily_computation(spark, monkeypatch, large):
+    # Every account is large, one of them is, none is.
+    monkeypatch.setattr(spread, "GROUP_ROWS", large)
     pick = random.Random(5)
     origin = dt.date(1999, 11, 1)
     rows = []
@@ -162,6 +162,7 @@ def test_random_subscriptions_equal_the_daily_computation(spark, monkeypatch, bo
         account = 1 if i % 3 == 0 else pick.randrange(2, 30)  # a third belongs to one account
         tier, cost = pick.choice([("T", "20.00"), ("P", "450.50"), ("E", "1200.00"), (None, None)])
         product, cancelled = pick.choice("ABZ"), pick.random() < 0.8
+        account = None if i % 17 == 0 else account
         rows.append(
             (account, str(start), str(cancel) if cancelled else None, product, tier, cost)
         )

@@ -61,6 +61,22 @@ def test_no_python_in_the_plans(spark, folder):
         assert "Python" not in text and "Pandas" not in text
 
 
+def test_financials_shuffle_subscriptions_once(spark, folder):
+    text = plan(spark, folder, "fact_financials")
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(account_id" in text
+
+
+def test_large_accounts_are_aggregated_before_they_move(spark, folder, monkeypatch):
+    from subsmart.operators import spread
+
+    monkeypatch.setattr(spread, "GROUP_ROWS", 5)
+    text = plan(spark, folder, "fact_financials")
+    large = text[text.rindex("Window") :]
+    assert "Union" in text and "partial_sum" in large
+    assert large.index("Exchange hashpartitioning") < large.index("partial_sum")
+
+
 def test_usage_shuffles_once(spark, folder):
     text = plan(spark, folder, "fact_product_usage")
     assert text.count("Exchange hashpartitioning") == 1
