@@ -97,18 +97,17 @@ def subscription_months(periods: DataFrame) -> DataFrame:
     offsets = F.sequence(F.lit(0), month_ordinal(last) - month_ordinal(first))
     month = F.col("financial_month")
     return (
-        periods.withColumn("_offset", F.explode(offsets))
-        .withColumn("financial_month", F.add_months(month_start(first), F.col("_offset")))
+        periods.withColumn("_first_month", month_start(first))
+        .withColumn("_cancel_month", month_start(F.col("cancel_date")))
+        .withColumn("_offset", F.explode(offsets))
+        .withColumn("financial_month", F.add_months("_first_month", F.col("_offset")))
         .withColumn(
             "days_covered",
             days_inclusive(F.greatest(first, month), F.least(last, F.last_day(month))),
         )
         .withColumn("total_days", days_in_month(month))
-        .withColumn(
-            "cancels_here",
-            F.coalesce(month_start(F.col("cancel_date")) == month, F.lit(False)),
-        )
-        .drop("_offset", "first_day", "last_day")
+        .withColumn("cancels_here", F.coalesce(F.col("_cancel_month") == month, F.lit(False)))
+        .drop("_offset", "_first_month", "_cancel_month", "first_day", "last_day")
     )
 
 
