@@ -56,7 +56,7 @@ def calendar_bounds(
     start: dt.date | str | Column = FIRST_DAY,
     horizon_years: int = HORIZON_YEARS,
 ) -> DataFrame:
-    """``(first_day, last_day)``: from ``start`` to the year end ``horizon_years`` after ``as_of``."""
+    """``(first_day, last_day)``: ``start`` to the year end ``horizon_years`` after ``as_of``."""
     return spark.range(1).select(
         as_date(start).alias("first_day"), year_end(as_date(as_of), horizon_years).alias("last_day")
     )

@@ -98,7 +98,9 @@ def first_versions(batch: DataFrame) -> DataFrame:
     ).select(*COLUMNS)
 
 
-def advance_current(current: DataFrame, batch: DataFrame, as_of: dt.date | str | Column) -> DataFrame:
+def advance_current(
+    current: DataFrame, batch: DataFrame, as_of: dt.date | str | Column
+) -> DataFrame:
     """What the batch makes of the current versions: kept, closed and newly opened ones.
 
     Both sides have one row per account, so the join key is unique and cannot be
@@ -143,7 +145,10 @@ def _version(side: str, start: Column | None = None, end: Column | None = None)
 
 
 def apply_batch(history: DataFrame, batch: DataFrame, as_of: dt.date | str | Column) -> DataFrame:
-    """The whole history after the batch. Closed versions pass through unshuffled."""
+    """The whole history after the batch. Closed versions pass through unshuffled.
+
+    For one batch; a history store keeps a sequence of them from piling up one plan.
+    """
     closed = history.filter(~F.col("is_current")).select(*COLUMNS)
     return closed.unionByName(advance_current(history.filter("is_current"), batch, as_of))
 

@@ -50,9 +50,9 @@ def sized(
 ) -> Sized:
     """Measure ``df`` and mark it for broadcast only if it is within both bounds.
 
-    The measurement stops at ``max_rows + 1`` rows. A larger side stays unmarked: its
-    join then shuffles both sides and adaptive execution splits skewed partitions.
-    What was measured before is not measured again.
+    Rows and bytes are added up where they lie. A larger side stays unmarked: its join
+    then shuffles both sides and adaptive execution splits skewed partitions. What was
+    measured before is not measured again.
     """
     if isinstance(df, Sized):
         return df
@@ -60,9 +60,7 @@ def sized(
         operator.add,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns],
     )
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     if rows > max_rows or size > max_bytes:
         return Sized(df, None)
     return Sized(F.broadcast(df), rows)

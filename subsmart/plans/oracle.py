@@ -31,7 +31,8 @@ RELATIONS: dict[str, str] = {
                     when '2-HIGH' then 'Professional' when '3-MEDIUM' then 'Starter'
                     when '5-LOW' then 'Trial' end as tier,
                cast(case o_orderpriority when '1-URGENT' then 1200 when '2-HIGH' then 450.5
-                    when '3-MEDIUM' then 20 when '5-LOW' then 0 end as decimal(10,2)) as monthly_cost,
+                    when '3-MEDIUM' then 20 when '5-LOW' then 0 end as decimal(10,2))
+                   as monthly_cost,
                o_orderkey % 2 = 0 as touchless_conversion
         from (select *, unnest(case when o_orderkey % 50 = 0 then [1, 2] else [1] end) as copy
               from orders)""",
@@ -57,7 +58,8 @@ RELATIONS: dict[str, str] = {
     "dim_dates": """
         select cast(strftime(d, '%Y%m%d') as integer) as date_id, d as full_date,
                cast(dayofweek(d) + 1 as integer) as day_of_week, dayname(d) as day_name,
-               cast(day(d) as integer) as day_of_month, cast(weekofyear(d) as integer) as week_number,
+               cast(day(d) as integer) as day_of_month,
+               cast(weekofyear(d) as integer) as week_number,
                cast(month(d) as integer) as month, monthname(d) as month_name,
                cast(quarter(d) as integer) as quarter, cast(year(d) as integer) as year,
                dayofweek(d) in (0, 6) as is_weekend, false as is_holiday
@@ -89,7 +91,8 @@ def _financial_relations(until: str = "cancel_date", source: str = "keyed_subscr
                          cast(unnest(generate_series(start_date, {until}, interval 1 day)) as date)
                              as full_date
                   from {source}, limits where start_date <= {until})
-            where full_date between (select first_day from limits) and (select last_day from limits)""",
+            where full_date >= (select first_day from limits)
+              and full_date <= (select last_day from limits)""",
         "account_load": """
             select account_id, financial_month, count(*) as days_active
             from covered group by account_id, financial_month""",
@@ -101,10 +104,12 @@ def _financial_relations(until: str = "cancel_date", source: str = "keyed_subscr
         "revenue": """
             select own_load.*, days_active,
                    case when ends_here
-                        then cast(monthly_cost as double) * (cast(days_active as double) / total_days)
+                        then cast(monthly_cost as double)
+                             * (cast(days_active as double) / total_days)
                         else cast(monthly_cost as double) end as shared_revenue,
                    case when ends_here
-                        then cast(monthly_cost as double) * (cast(days_covered as double) / total_days)
+                        then cast(monthly_cost as double)
+                             * (cast(days_covered as double) / total_days)
                         else cast(monthly_cost as double) end as own_revenue
             from own_load join account_load using (account_id, financial_month)""",
     }
@@ -219,7 +224,8 @@ def _check_row(check) -> str:
     else:
         parent, field = check.argument.split(".")
         failures = f"""(select count(*) from {table} as child where child.{column} is not null
-            and not exists (select 1 from {parent} as parent where parent.{field} = child.{column}))"""
+            and not exists (select 1 from {parent} as parent
+                            where parent.{field} = child.{column}))"""
     return f"""select '{table}' as "table", '{column}' as "column", '{check.label}' as "check",
         cast( {failures} as bigint) as failures"""
 

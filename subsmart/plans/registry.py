@@ -23,7 +23,7 @@ from subsmart.plans.build import Warehouse, stage_all
 from subsmart.plans.checks import CHECKS, ONLY_ROWS
 from subsmart.session import fit_shuffles
 from subsmart.sources import samples
-from subsmart.sources.store import MartStore
+from subsmart.sources.store import HistoryStore, MartStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -218,26 +218,26 @@ def scd2_changed_rows(spark, folder):
 
 @query
 def scd2_version_chain(spark, folder):
-    """Ends recomputed by ``lead`` from the versions of three batches."""
-    first, *later = _batches(spark, folder, 3)
-    history = hist.first_versions(first)
-    for batch, day in zip(later, BATCH_DAYS):
-        history = hist.apply_batch(history, batch, day)
+    """Ends recomputed by ``lead`` from the start days of a stored history."""
+    history = _stored_history(spark, folder).read()
     return hist.version_chain(history.drop("end_date_id", "is_current"))
 
 
 @query
 def scd2_second_batch(spark, folder):
     """First load and two batches through the stored history."""
-    warehouse = Warehouse(spark, scratch_folder(spark))
-    _load_history(warehouse, _batches(spark, folder, 3))
-    return warehouse.read("dim_accounts")
+    return _stored_history(spark, folder).read()
 
 
-def _load_history(warehouse, batches):
+def _stored_history(spark, folder):
+    store = HistoryStore(spark, scratch_folder(spark))
+    _load_history(store, _batches(spark, folder, 3))
+    return store
+
+
+def _load_history(store, batches):
     for batch, day in zip(batches, [FIRST_LOAD, *BATCH_DAYS]):
-        current = warehouse.history.current()
-        warehouse.history.write(hist.advance_current(current, batch, day), day)
+        store.write(hist.advance_current(store.current(), batch, day), day)
 
 
 # ---- facts ----------------------------------------------------------------
@@ -393,7 +393,7 @@ def _built_warehouse(spark, folder) -> Warehouse:
     if key not in _BUILT:
         warehouse = Warehouse(spark, scratch_folder(spark))
         warehouse.store.replace("dim_dates", _calendar(spark, folder))
-        _load_history(warehouse, _batches(spark, folder, 3))
+        _load_history(warehouse.history, _batches(spark, folder, 3))
         warehouse.run_all(
             samples.sample_sources(spark, folder),
             as_of=BATCH_DAYS[-1],
