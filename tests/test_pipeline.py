@@ -8,7 +8,10 @@ from helpers import accounts, object_counts, subscriptions, usage_events
 from subsmart.plans.build import ORDER, Warehouse, create_staging_views
 from subsmart.sources.samples import RawSources
 
-EVENTS = [(1, 1, 1, "2020-01-01T08:00:00", "A", "Usage"), (1, 1, 2, "2020-01-02T08:00:00", "A", "Usage")]
+EVENTS = [
+    (1, 1, 1, "2020-01-01T08:00:00", "A", "Usage"),
+    (1, 1, 2, "2020-01-02T08:00:00", "A", "Usage"),
+]
 PERIODS = [(1, "2020-01-01", "2020-02-10", "A", "Pro", "29.00")]
 COUNTS = [("2020-01-01", 1, 5), ("2020-01-02", 1, 6)]
 PEOPLE = [(1, "Ann", "2019-05-01", "FR", "Retail", 5)]
@@ -100,4 +103,6 @@ def test_views_serve_sql(spark, tmp_path):
 
 def test_unknown_mart_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="no such mart: dim_users"):
-        Warehouse(spark, str(tmp_path)).run_all(sources(spark), dt.date(2020, 1, 1), only=["dim_users"])
+        Warehouse(spark, str(tmp_path)).run_all(
+            sources(spark), dt.date(2020, 1, 1), only=["dim_users"]
+        )

@@ -53,7 +53,8 @@ def test_each_kind_counts_failing_rows(tables):
 
 def test_orphans_are_counted_by_row(spark, tables):
     many = tables["child"].unionByName(tables["child"]).unionByName(tables["child"])
-    report = failures({**tables, "child": many}, Check("child", "parent_id", "relationships", "parent.id"))
+    check = Check("child", "parent_id", "relationships", "parent.id")
+    report = failures({**tables, "child": many}, check)
     assert list(report.values()) == [("fail", 3)]
 
 

@@ -24,7 +24,8 @@ def fact(spark, rows):
 
 
 def short(df):
-    rows = collected(df.select("usage_date", "account_id", "total_contacts"), "usage_date", "account_id")
+    keys = ["usage_date", "account_id"]
+    rows = collected(df.select(*keys, "total_contacts"), *keys)
     return [(str(d), a, n) for d, a, n in rows]
 
 
@@ -55,6 +56,14 @@ def test_incremental_from_empty_equals_full(spark, tmp_path):
     assert short(full.read(NAME)) == short(step.read(NAME))
 
 
+def test_unfinished_full_write_does_not_count(spark, tmp_path):
+    store = MartStore(spark, str(tmp_path))
+    store.replace(NAME, fact(spark, OLD))
+    assert store.exists(NAME)
+    (tmp_path / NAME / "_SUCCESS").unlink()
+    assert not store.exists(NAME) and store.read(NAME).isEmpty()
+
+
 def test_missing_key_is_refused(spark, tmp_path):
     store = MartStore(spark, str(tmp_path))
     rows = fact(spark, OLD).withColumn("usage_date", F.lit(None).cast("date"))
@@ -78,10 +87,10 @@ def test_frame_form_keeps_rows_without_key(spark):
 
 def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
     # Half of the rows fall on one day; small targets make the split visible here.
+    offset = F.greatest(F.lit(0), F.col("id") % 40 - 20).cast("int")
     rows = spark.range(200_000).select(
         F.col("id").alias("account_id"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.greatest(F.lit(0), F.col("id") % 40 - 20).cast("int"))
-        .alias("usage_date"),
+        F.date_add(F.lit("2024-01-01").cast("date"), offset).alias("usage_date"),
         *(F.xxhash64("id", F.lit(c)).alias(c) for c in MARTS[NAME].names[2:]),
     )
     settings = {

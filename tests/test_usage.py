@@ -66,10 +66,8 @@ def test_counting_before_the_join_equals_after(spark):
 
 
 def test_products_and_tiers(spark):
-    assert collected(build_products(usage_events(spark, EVENTS)).select("product_name"), "product_name") == [
-        ("A",),
-        ("B",),
-    ]
+    products = build_products(usage_events(spark, EVENTS))
+    assert collected(products.select("product_name"), "product_name") == [("A",), ("B",)]
     offers = spark.sql(
         "select * from values ('T', 1.00), ('T', 1.00), ('T', 2.00), (null, 1.00), ('P', null)"
         " as o(tier, monthly_cost)"
@@ -82,7 +80,5 @@ def test_repeated_snapshots_add_up(spark):
     raw = object_counts(
         spark, [("2024-01-01", 1, 5), ("2024-01-01", 1, 7), ("2024-01-02", 1, None)]
     )
-    assert [r[:4] for r in collected(object_counts_fact(stage_object_counts(raw)), "usage_date")] == [
-        (1, D1, 12, 2),
-        (1, D2, None, 1),
-    ]
+    counts = collected(object_counts_fact(stage_object_counts(raw)), "usage_date")
+    assert [r[:4] for r in counts] == [(1, D1, 12, 2), (1, D2, None, 1)]
