@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from subsmart.llm import mixing
+from subsmart.llm import fingerprints, mixing, token_counts
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op9_fingerprints": fingerprints.op9_fingerprints,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES = {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from subsmart.operators.spread import shared_folder
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Bounds on what a Python task holds at once: rows and bytes of one Arrow batch.
 BATCH_ROWS = 4_000
 BATCH_BYTES = 16 << 20
@@ -18,7 +20,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session's Python tasks by rows and bytes."""
+    """Bound the Arrow batches of the session's Python tasks by rows and bytes.
+
+    Tasks find this package where the driver does; a cluster may also ship it as a file.
+    """
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
