@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from subsmart.llm import fingerprints, mixing, token_counts
+from subsmart.llm import decontamination, fingerprints, mixing, token_counts
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
+    "op7_decontamination": decontamination.ORACLE,
 }
