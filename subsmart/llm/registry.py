@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from subsmart.llm import decontamination, fingerprints, mixing, token_counts
+from subsmart.llm import decontamination, fingerprints, mixing, simhash, token_counts
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op6_simhash": simhash.op6_simhash,
     "op7_decontamination": decontamination.op7_decontamination,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_token_counts": token_counts.op10_token_counts,
