@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from subsmart.llm import decontamination, fingerprints, mixing, simhash, token_counts
+from subsmart.llm import decontamination, fingerprints, language, mixing, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_language": language.op5_language,
     "op6_simhash": simhash.op6_simhash,
     "op7_decontamination": decontamination.op7_decontamination,
     "op9_fingerprints": fingerprints.op9_fingerprints,
