@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from subsmart.llm import decontamination, fingerprints, language, mixing, simhash, token_counts, toxicity
+from subsmart.llm import decontamination, fingerprints, html_text, language, line_dedup, mixing, private_data, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_html": html_text.op3_html,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_language": language.op5_language,
     "op6_simhash": simhash.op6_simhash,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_private_data": private_data.op8_private_data,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_token_counts": token_counts.op10_token_counts,
 }
