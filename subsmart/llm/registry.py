@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from subsmart.llm import decontamination, fingerprints, html_text, language, line_dedup, mixing, private_data, simhash, token_counts, toxicity
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_private_data": private_data.op8_private_data,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_token_counts": token_counts.op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from subsmart.llm.components import components
 from subsmart.llm.tables import bound_batches, read, stored
+from subsmart.operators.spread import sized
 
 SHINGLE = 4
 SEED = 42
@@ -46,20 +47,23 @@ def _add_fingerprints(k: int):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary())
             prints = np.array([simhash(x or b"", k) for x in texts.to_pylist()], np.uint64)
-            keep = [i for i, name in enumerate(batch.schema.names) if name != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(prints.view(np.int64))],
-                [*(batch.schema.names[i] for i in keep), "print"],
+                [*batch.columns[:2], pa.array(prints.view(np.int64))], ["doc_id", "text_key", "print"]
             )
 
     return run
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``print`` (64 bits as a long) of every document."""
+    """``doc_id``, ``text_key`` and ``print`` (64 bits as a long) of every document."""
     bound_batches(docs.sparkSession)
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
-    return ids.mapInArrow(_add_fingerprints(k), "doc_id long, print long")
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
+    return rows.mapInArrow(_add_fingerprints(k), "doc_id long, text_key long, print long")
+
+
+def text_key() -> Column:
+    """A number by which texts of one id are told apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def segments(distance: int = DISTANCE) -> list[tuple[int, int]]:
@@ -117,10 +121,10 @@ def near_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``doc_id``, ``print`` and ``component_id`` of every document.
+    """``doc_id``, ``text_key``, ``print``, ``component_id`` and ``root`` of every document.
 
     Documents are linked if their fingerprints differ in at most ``distance`` bits;
-    ``component_id`` is the least id reachable over links. Equal fingerprints are one
+    ``component_id`` is the least id reachable over links, ``root`` numbers the component. Equal fingerprints are one
     node, so copies in any number cost nothing beyond counting.
 
     Null and empty texts have fingerprint zero and link like others. Repeated ids are
@@ -133,8 +137,31 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE)
     linked = components(pairs).withColumnRenamed("node", "print")
     rooted = nodes.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
     classes = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = rooted.join(classes, "root").select("print", "component_id")
-    return own.join(by_print, "print").select("doc_id", "print", "component_id")
+    by_print = rooted.join(classes, "root").select("print", "component_id", "root")
+    return own.join(by_print, "print").select("doc_id", "text_key", "print", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one of each component.
+
+    It is the one of the least id (null last), of rows with that id the least text key,
+    and of rows equal in both any one. What goes is looked up, not what stays, so texts
+    move only if too many go for a broadcast.
+    """
+    found = stored(near_duplicates(docs, k, distance))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    keepers = found.groupBy("root").agg(F.min(order).alias("kept"))
+    judged = found.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("rows")).join(keepers, "root")
+    stays = F.col("kept").eqNullSafe(order)
+    names = [F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")]
+    gone = sized(stored(judged.filter(~stays).select(*names))).frame
+    repeated = sized(stored(judged.filter(stays & (F.col("rows") > 1)).select(*names)))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    left = docs.withColumn("_text_key", text_key()).join(gone, same, "left_anti")
+    if repeated.rows != 0:
+        once = left.join(repeated.frame, same, "left_semi").dropDuplicates(["doc_id", "_text_key"])
+        left = left.join(repeated.frame, same, "left_anti").unionByName(once)
+    return left.select(*docs.columns)
 
 
 def op6_simhash(spark, sf_dir) -> DataFrame:
