@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GAP = 0x20
+HELD_BYTES = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,13 +68,24 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, the same wherever the span lies."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = _powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each span's bytes, the same wherever the span lies.
+
+    Spans are hashed in pieces of about ``HELD_BYTES``, so memory does not grow with a text.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(int(np.searchsorted(starts, low + HELD_BYTES)), i + 1)
+        high = int(ends[i:j].max())
+        up, down = _powers(high - low)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.multiply(data[low:high] + np.uint64(1), up[: high - low], out=sums[1:])
+        np.cumsum(sums, out=sums)
+        first, last = starts[i:j] - low, ends[i:j] - low
+        out[i:j] = (sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)
+        i = j
+    return mixed(out)
 
 
 def shingle_hashes(
