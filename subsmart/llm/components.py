@@ -1,4 +1,4 @@
-"""Connected components by rounds of joins."""
+"""Connected components by rounds of contraction."""
 
 from __future__ import annotations
 
@@ -11,38 +11,35 @@ from subsmart.operators.spread import settle
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node reachable, for every node of ``links``.
 
-    ``links`` has two long columns, ``a`` and ``b``, in one direction or both. Each round
-    hooks a node's parent under the least parent among its neighbours and then halves the
-    paths, so rounds grow with the logarithm of the longest chain. Rounds are joins and
-    aggregations with partial sums; the result of each goes to the shared folder.
+    ``links`` has two long columns, ``a`` and ``b``, in one direction or both. In each
+    round every node joins the neighbour that comes first in an order by hash, new for
+    each round, twice over; links inside a merged node go. Links and nodes shrink by a
+    factor each round, so rounds grow with the logarithm of the nodes and the work with
+    the links, whatever the shape. Results of rounds go to the shared folder.
     """
-    both = settle(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
-    parents = settle(
-        both.groupBy(F.col("a").alias("node")).agg(
-            F.least(F.col("node"), F.min("b")).alias("parent")
-        )
-    )
-    while True:
-        # The least parent among a node's neighbours is offered to the node and its parent.
-        offers = (
-            both.join(parents, F.col("b") == F.col("node"))
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("parent").alias("offer"))
-        )
-        told = parents.join(offers, "node").select(
-            F.explode(F.array("node", "parent")).alias("node"), "offer"
-        )
-        best = told.groupBy("node").agg(F.min("offer").alias("offer"))
-        hooked = parents.join(best, "node").select(
-            "node", F.least("parent", "offer").alias("parent"), F.col("parent").alias("was")
-        )
-        over = hooked.select(F.col("node").alias("_of"), F.col("parent").alias("_next"))
-        following = settle(
-            hooked.join(over, F.col("parent") == F.col("_of")).select(
-                "node", F.least("parent", "_next").alias("parent"), "was"
+    edges = settle(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
+    labels: DataFrame | None = None
+    rounds = 0
+    while labels is None or edges.limit(1).count():
+        order = lambda c, seed=rounds: F.struct(F.xxhash64(c, F.lit(seed)).alias("h"), F.col(c).alias("node"))
+        chosen = edges.groupBy("a").agg(F.least(order("a"), F.min(order("b")))["node"].alias("up"))
+        above = chosen.select(F.col("a").alias("up"), F.col("up").alias("to"))
+        merged = settle(chosen.join(above, "up").select("a", "to"))
+        if labels is None:
+            labels = merged.select(F.col("a").alias("node"), F.col("to").alias("root"))
+        else:
+            moved = merged.withColumnRenamed("a", "root")
+            labels = settle(
+                labels.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
             )
+        left, right = merged.withColumnRenamed("to", "x"), merged.select(F.col("a").alias("b"), F.col("to").alias("y"))
+        edges = settle(
+            edges.join(left, "a")
+            .join(right, "b")
+            .filter("x <> y")
+            .select(F.col("x").alias("a"), F.col("y").alias("b"))
+            .distinct()
         )
-        changed = following.filter(F.col("parent") != F.col("was")).limit(1).count()
-        parents = following.select("node", "parent")
-        if not changed:
-            return parents.withColumnRenamed("parent", "root")
+        rounds += 1
+    least = labels.groupBy("root").agg(F.min("node").alias("least"))
+    return settle(labels.join(least, "root").select("node", F.col("least").alias("root")))
