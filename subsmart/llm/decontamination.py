@@ -10,7 +10,7 @@ from subsmart.operators.spread import settle, sized
 
 # Words are runs of ASCII letters, digits and all characters beyond ASCII.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN_CASED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 13
 # Words of a gram. Of every WINDOW - GRAM + 1 consecutive grams the least hash is kept, so
@@ -28,7 +28,9 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(CASED_WORD)), F.lit(0)).cast("long")
+    # Splitting is several times faster than matching words.
+    found = F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_CASED), "")
+    return F.size(found).cast("long")
 
 
 def _starts(n: Column, k: int) -> Column:
