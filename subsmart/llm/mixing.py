@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from subsmart.operators.spread import settle
 
-WORD = r"[^\x20\x09-\x0D]+"
+BETWEEN_WORDS = r"[\x20\x09-\x0D]+"
 # Rows of one cell, the unit that is sorted in one place.
 CELL_ROWS = 50_000
 OFFSET_STEPS = 1 << 20
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    found = F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_WORDS), "")
+    return F.size(found).cast("long")
 
 
 def size_band(size: Column) -> Column:
