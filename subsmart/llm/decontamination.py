@@ -38,6 +38,13 @@ def _starts(n: Column, k: int) -> Column:
     return F.when(n >= k, F.sequence(F.lit(1), n - (k - 1))).otherwise(F.array().cast("array<int>"))
 
 
+def _whole_window(m: int):
+    """From a place, the window of ``m`` words there with the hash of all of them."""
+    return lambda i: F.struct(
+        F.xxhash64(F.slice("_hashes", i, m), F.lit(m)).alias("print"), i.alias("at"), F.lit(m).alias("n")
+    )
+
+
 def with_fingerprints(texts: DataFrame, short: list[int]) -> DataFrame:
     """``texts`` (with ``text``) and ``words`` and ``prints``: a fingerprint per window.
 
@@ -61,17 +68,7 @@ def with_fingerprints(texts: DataFrame, short: list[int]) -> DataFrame:
             F.lit(WINDOW).alias("n"),
         ),
     )
-    parts = [
-        F.transform(
-            _starts(F.size("_hashes"), m),
-            lambda i, m=m: F.struct(
-                F.xxhash64(F.slice("_hashes", i, m), F.lit(m)).alias("print"),
-                i.alias("at"),
-                F.lit(m).alias("n"),
-            ),
-        )
-        for m in short
-    ]
+    parts = [F.transform(_starts(F.size("_hashes"), m), _whole_window(m)) for m in short]
     prints = F.concat(whole, *parts) if parts else whole
     return hashed.withColumn("_grams", grams).withColumn("prints", prints).drop("_hashes", "_grams")
 

@@ -11,8 +11,8 @@ from subsmart.operators.spread import shared_folder
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Bounds on what a Python task holds at once: rows and bytes of one Arrow batch.
-BATCH_ROWS = 4_000
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2_000
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,0 +1,257 @@
+"""Operators against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+
+import corpus_pipeline
+from subsmart.llm import fingerprints, html_text, language, line_dedup, private_data, registry, simhash, toxicity
+from subsmart.llm.components import components
+
+
+class Groups:
+    def __init__(self):
+        self.up = {}
+
+    def find(self, x):
+        while self.up.setdefault(x, x) != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def texts_of(documents):
+    return sorted((r.doc_id, r.text) for r in documents.collect())
+
+
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(i, i + 1) for i in range(1000, 1200)]
+    groups = Groups()
+    for a, b in links:
+        groups.join(a, b)
+    found = components(spark.createDataFrame(links, "a long, b long")).collect()
+    nodes = {x for a, b in links if a != b for x in (a, b)}
+    assert {r.node: r.root for r in found} == {x: groups.find(x) for x in nodes}
+
+
+def test_edit_distance():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = (rng.integers(0, 4, rng.integers(0, 25)).tolist() for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            last, row = row, [i + 1]
+            for j, y in enumerate(b):
+                row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+        assert line_dedup.edit_distance(a, b) == row[-1]
+
+
+def line_groups(texts):
+    """Occurrences of lines, and the groups by comparing all pairs."""
+    word, occurrences = re.compile("[a-z0-9\x80-\U0010ffff]+"), []
+    for doc, text in texts:
+        for number, line in enumerate(text.lower().split("\n")):
+            found = tuple(word.findall(re.sub("[0-9]", "0", line)))
+            if len(found) >= line_dedup.LEAST_WORDS:
+                occurrences.append((doc, number, found))
+    hashes, firsts, _, _ = line_dedup.line_words(pa.array([t for _, t in texts]))
+    prints = []
+    for a, b in zip(firsts[:-1], firsts[1:]):
+        bits = (hashes[a:b, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+        prints.append(sum(1 << i for i in np.flatnonzero(2 * bits.sum(axis=0) > b - a).tolist()))
+    prints, groups, first = np.array(prints, np.uint64), Groups(), {}
+    for i, (_, _, found) in enumerate(occurrences):
+        groups.join(first.setdefault(found, i), i)
+    lines = list(first.values())
+    for x, i in enumerate(lines):
+        for y in np.flatnonzero(np.bitwise_count(prints[lines[x + 1 :]] ^ prints[i]) <= line_dedup.DISTANCE):
+            j = lines[x + 1 + y]
+            a, b = occurrences[i][2], occurrences[j][2]
+            if line_dedup.edit_distance(list(a), list(b)) <= 0.2 * max(len(a), len(b)) + 1e-9:
+                groups.join(i, j)
+    return occurrences, groups
+
+
+def test_line_dedup(spark, documents, folder):
+    texts = texts_of(documents)
+    occurrences, groups = line_groups(texts)
+    gone = {}
+    for i, (doc, number, _) in enumerate(occurrences):
+        if groups.find(i) != i:
+            gone.setdefault(doc, set()).add(number)
+    expected = {
+        doc: "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone.get(doc, ())) for doc, text in texts
+    }
+    found = registry.QUERIES["op2_line_dedup"](spark, folder).collect()
+    assert {r.doc_id: r.text for r in found} == expected
+    assert sum(r.n_removed for r in found) == sum(map(len, gone.values())) > 0
+
+
+def test_blocking():
+    assert line_dedup.blocking(10) == (4, 1)
+    blocks, equal = line_dedup.blocking(10**10)
+    assert blocks == line_dedup.DISTANCE + equal and equal > 1
+
+
+def brute_simhash(text):
+    words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash(spark, documents, folder):
+    texts = texts_of(documents)
+    prints = {doc: brute_simhash(text) for doc, text in texts}
+    groups = Groups()
+    for a in prints:
+        for b in prints:
+            if a <= b and (prints[a] ^ prints[b]).bit_count() <= 4:
+                groups.join(a, b)
+    found = registry.QUERIES["op6_simhash"](spark, folder).collect()
+    assert {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in found} == {
+        doc: (prints[doc], groups.find(doc)) for doc in prints
+    }
+
+
+def test_near_pairs_at_every_distance(spark):
+    rng = np.random.default_rng(3)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 50)]
+    near = [x ^ sum(1 << int(b) for b in rng.choice(63, d, replace=False)) for x in base for d in range(1, 7)]
+    prints = sorted(set(base + near))
+    found = simhash.near_pairs(spark.createDataFrame([(x,) for x in prints], "print long")).collect()
+    expected = {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 4}
+    assert len(found) == len(expected) and {(r.a, r.b) for r in found} == expected
+
+
+def test_fingerprints(spark, documents, folder):
+    texts = sorted(texts_of(documents), reverse=True)
+    found = {r.doc_id: r for r in registry.QUERIES["op9_fingerprints"](spark, folder).collect()}
+    shingles = lambda t: (lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})(t.lower().split())
+    for i, (doc, text) in enumerate(texts):
+        after = texts[(i + 1) % len(texts)][1]
+        edited = fingerprints.edited_text(text, after)
+        assert len(edited) <= len(text)
+        assert found[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        a, b = shingles(text), shingles(edited)
+        if len(a | b) > 2000:
+            assert abs(found[doc].near_edited - len(a & b) / len(a | b)) < 0.12
+
+
+def test_language_accuracy(spark, folder):
+    found = registry.QUERIES["op5_language"](spark, folder)
+    known = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = found.filter("held_out").join(known, "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
+
+
+def test_language_spans(spark, documents):
+    model = language.learned(documents)
+    by_language = {r.lang: r.text for r in documents.collect() if len(r.text) > 2000}
+    (a, x), (b, y) = sorted(by_language.items())[:2]
+    mixed = spark.createDataFrame([(1, f"{x[:1000]} {y[:1000]}")], "doc_id long, text string")
+    spans = language.identify(mixed, model).first().spans
+    assert [s.lang for s in spans if s.words > 20] == [a, b]
+
+
+def test_best_path_equals_enumeration():
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    scores = -rng.integers(0, 9, (12, 3)).astype(np.float32)
+    for firsts in ([0, 5, 5, 12], [0, 1, 6, 12]):
+        labels = language.best_paths(scores, np.array(firsts), switch=3.0)
+        for a, b in zip(firsts[:-1], firsts[1:]):
+            value = lambda p: sum(scores[a + i, x] for i, x in enumerate(p)) - 3 * sum(x != y for x, y in zip(p, p[1:]))  # noqa: E731, B023
+            best = max(map(value, product(range(3), repeat=b - a)))
+            assert value(labels[a:b].tolist()) == best
+
+
+def test_toxicity_is_learned(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(1500):
+        words = [f"w{x}" for x in "".join(map(chr, rng.integers(97, 123, 80)))]
+        toxic = int(i % 5 == 1)
+        if toxic:
+            words[int(rng.integers(80))] = rng.choice(["vile", "nasty"])
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learned(docs, docs.select("doc_id", "toxic"))
+    found = toxicity.score_toxicity(docs, model).join(docs, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in found) > 0.98 * len(found)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header>
+<nav><ul><li><a href="/">Home</a></ul></nav><div class="cookie-notice">We use cookies</div>
+<div class="post-12"><h1>Title &amp;  more</h1><p>First <b>para</b><br>graph.<p>Second &eacute;&#33; <a href=x>link</a></p>
+<ul><li>point one<li>point two</ul><form>Send</form><script>var a = "<p>no</p>";</script></div>
+<aside>Side text</aside><div id="comments"><p>Reader says hello to all of you and goes on for a long time.</p></div>
+<footer>&copy; 2020</footer></body></html>"""
+MAIN = "Title & more\n\nFirst para graph.\n\nSecond é! link\n\npoint one\n\npoint two"
+
+
+def test_html_blocks():
+    assert html_text.main_text(html_text.parse(PAGE), []) == MAIN
+    assert html_text.main_text(html_text.parse("plain &lt;text"), []) == "plain <text"
+    assert html_text.main_text(html_text.parse("<p>open <!-- no end"), []) == "open"
+
+
+def test_host_consensus(spark):
+    # On the last page the other container is longer; the host's other pages outvote it.
+    usual = "<body><div class='a1'><p>{}</p></div><div class='b'><p>{}</p></div></body>"
+    rows = [(i, "http://h.example/x", usual.format("article " * 30, "other " * 3)) for i in range(5)]
+    rows.append((9, "http://h.example/y", usual.format("short article", "other " * 60)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.extract(pages, ["page_id"]).collect()}
+    assert found[9] == "short article"
+
+
+def test_private_data(spark):
+    rows = [
+        (1, "bob.x@mail.com and BOB.X@mail.com, +1 (317) 555-3649 or 317-555-3649, 10.0.0.1, card 4111 1111 1111 1111"),
+        (2, "Mr. John Smith met Mrs Mary Smith. password=b7db7aa4a5fcc78305 and card 4111111111111111 bob.x@mail.com"),
+        (3, "clean 123 text 2020-01-02"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in private_data.replace_private(docs, "key").collect()}
+    again = {r.doc_id: r.text for r in private_data.replace_private(docs, "key").collect()}
+    other = {r.doc_id: r.text for r in private_data.replace_private(docs, "other key").collect()}
+    assert out == again and out[1] != other[1] and out[3] == rows[2][1]
+    for old in ("bob.x", "BOB.X", "317", "10.0.0.1", "4111", "Smith", "John", "b7db7aa4"):
+        assert not any(old in text for text in out.values())
+    mail = re.findall(r"\S+@\S+?(?=,|\s|$)", out[1] + " " + out[2])
+    assert len(set(mail)) == 1
+    numbers = [re.sub(r"\D", "", x) for x in re.findall(r"(?:\d{4} ?){4}", out[1] + " " + out[2])]
+    assert len(set(numbers)) == 1
+    digits = [int(c) for c in numbers[0]]
+    assert sum(sum(divmod(2 * d, 10)) if i % 2 == 0 else d for i, d in enumerate(digits)) % 10 == 0
+    names = re.match(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+)\.", out[2])
+    assert names[2] == names[4] and names[1] != names[3]
+
+
+def test_surrogates_are_distinct(spark):
+    rows = [(i, f"Mr Name{chr(97 + i // 26)}{chr(97 + i % 26)} Family{chr(97 + i // 26)}{chr(97 + i % 26)}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = private_data.replacements(docs, "key").collect()
+    assert len({r.new for r in pairs}) == len(pairs) == 400
+
+
+def test_pipeline(spark, folder):
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    docs, sizes = documents, []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder).cache()
+        sizes.append(docs.count())
+    assert sizes[0] >= sizes[1] >= sizes[2] >= sizes[3] > 0
+    found = sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()), key=repr)
+    assert found == sorted(map(tuple, docs.collect()), key=repr)
