@@ -9,23 +9,18 @@ from pyspark.sql import functions as F
 
 from subsmart.functions.dates import as_date, date_id, year_end
 
-# First day of a full build, years generated past the run date,
-# and the most days one build may generate.
+# First day of a full build, and years generated past the run date.
 FIRST_DAY = dt.date(2000, 1, 1)
 HORIZON_YEARS = 3
-MAX_DAYS = 100_000
 
 
 def calendar_days(bounds: DataFrame) -> DataFrame:
     """One row per day of a one-row relation ``(first_day, last_day)``.
 
-    Generated by exploding a sequence: no window over all rows, and never more
-    than ``MAX_DAYS`` days, which also bounds every join against a calendar.
+    Generated by exploding a sequence: no window over all rows, and every day of it.
     """
-    capped = F.least("last_day", F.date_add("first_day", MAX_DAYS - 1))
     return (
-        bounds.select("first_day", capped.alias("last_day"))
-        .filter(F.col("first_day") <= F.col("last_day"))
+        bounds.filter(F.col("first_day") <= F.col("last_day"))
         .select(F.explode(F.sequence("first_day", "last_day")).alias("full_date"))
     )
 

@@ -20,9 +20,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
-# Input per shuffle partition, and the most partitions a shuffle gets.
+# Input per shuffle partition.
 SHUFFLE_BYTES = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def fit_shuffles(spark: SparkSession, *locations: str) -> int:
@@ -34,7 +33,7 @@ def fit_shuffles(spark: SparkSession, *locations: str) -> int:
     key = "spark.sql.shuffle.partitions"
     configured = int(spark.conf.get(key))
     wanted = sum(folder_bytes(spark, location) for location in locations) // SHUFFLE_BYTES
-    chosen = max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    chosen = max(configured, wanted)
     if chosen != configured:
         spark.conf.set(key, str(chosen))
     return chosen

@@ -5,7 +5,7 @@ import datetime as dt
 from helpers import collected
 from pyspark.sql import functions as F
 
-from subsmart.operators.calendar import MAX_DAYS, build_calendar, calendar_days, extend_calendar
+from subsmart.operators.calendar import build_calendar, calendar_days, extend_calendar
 
 
 def test_bounds_and_attributes(spark):
@@ -43,6 +43,7 @@ def test_empty_calendar_is_refilled(spark):
     assert collected(extend_calendar(empty, "2020-05-05"), "date_id")[0][0] == 20000101
 
 
-def test_generation_is_capped(spark):
-    bounds = spark.sql("select date'2000-01-01' as first_day, date'2500-01-01' as last_day")
-    assert calendar_days(bounds).count() == MAX_DAYS
+def test_long_calendars_are_whole(spark):
+    bounds = spark.sql("select date'1600-01-01' as first_day, date'2200-12-31' as last_day")
+    found = calendar_days(bounds).agg(F.count("*"), F.max("full_date")).first()
+    assert found == ((dt.date(2200, 12, 31) - dt.date(1600, 1, 1)).days + 1, dt.date(2200, 12, 31))

@@ -19,7 +19,7 @@ def test_shuffles_follow_the_input(restored, folder, monkeypatch):
     monkeypatch.setattr(session, "SHUFFLE_BYTES", 10_000)
     raised = session.fit_shuffles(restored, folder)
     assert 4 < raised == int(restored.conf.get("spark.sql.shuffle.partitions"))
-    monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", 10)
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1 << 30)
     assert session.fit_shuffles(restored, folder) == raised  # never lowered
 
 
