@@ -33,6 +33,12 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.history.read() if name == "dim_accounts" else self.store.read(name)
 
+    def _upstream(self, name: str) -> DataFrame:
+        """A mart that another one is built from; it must have been written."""
+        if not self.store.exists(name):
+            raise ValueError(f"{name} must be built first")
+        return self.store.read(name)
+
     def create_views(self) -> None:
         """Temporary views over all marts, for SQL."""
         for name in ORDER:
@@ -77,7 +83,7 @@ class Warehouse:
         self.store.replace("dim_products", build_products(staged["usage_events"]))
 
     def _accounts(self, staged, as_of, start, full_refresh, since) -> None:
-        batch = account_batch(staged["accounts"], self.store.read("dim_dates"))
+        batch = account_batch(staged["accounts"], self._upstream("dim_dates"))
         day = as_of.year * 10000 + as_of.month * 100 + as_of.day
         current = self.history.current(before=day)
         self.history.write(advance_current(current, batch, as_of), as_of)
@@ -88,17 +94,17 @@ class Warehouse:
 
     def _usage(self, staged, as_of, start, full_refresh, since) -> None:
         rows = self._input(staged, "usage_events", "fact_product_usage", full_refresh, since)
-        products = self.store.read("dim_products")
+        products = self._upstream("dim_products")
         self._fact("fact_product_usage", product_usage_fact(rows, products), full_refresh)
 
     def _financials(self, staged, as_of, start, full_refresh, since) -> None:
-        calendar = self.store.read("dim_dates")
+        calendar = self._upstream("dim_dates")
         if self._limited("fact_financials", full_refresh, since):
             calendar = calendar.filter(F.col("full_date") >= month_start(as_date(since)))
         fact = financials_fact(
             staged["subscriptions"],
-            self.store.read("dim_tiers"),
-            self.store.read("dim_products"),
+            self._upstream("dim_tiers"),
+            self._upstream("dim_products"),
             calendar,
         )
         self._fact("fact_financials", fact, full_refresh)

@@ -222,3 +222,32 @@ def test_churn(spark):
     )
     churn = fin.monthly_churn(fin.subscription_months(periods))
     assert [r[2:] for r in collected(churn, "financial_month")] == [(1, 0), (1, 1), (1, 1)]
+
+
+NARROW = [(1, "2020-01-01", "2020-03-10", "A", "Pro", "31.00")]
+
+
+def narrow_fact(spark, keep, cost=None):
+    subs = subscriptions(spark, NARROW)
+    if cost is not None:
+        subs = subs.withColumn("monthly_cost", F.lit(cost))
+    events = usage_events(spark, [(1, 1, 1, "2020-01-01T00:00:00", "A", "Usage")])
+    calendar = build_calendar(spark, "2020-06-30", "2020-01-01", 0).filter(keep)
+    return fin.financials_fact(subs, build_tiers(subs), build_products(events), calendar)
+
+
+@pytest.mark.parametrize("keep", ["false", "year > 2020", "full_date >= '2020-03-11'"])
+def test_without_covered_calendar_days_there_is_no_revenue(spark, keep):
+    assert narrow_fact(spark, keep).isEmpty()
+
+
+def test_calendar_gaps_are_not_covered(spark):
+    found = narrow_fact(spark, "month <> 2 and full_date <> '2020-03-05'").orderBy("financial_month").collect()
+    assert [r.financial_month for r in found] == [dt.date(2020, 1, 1), dt.date(2020, 3, 1)]
+    # Nine of the first ten days of March are in the calendar.
+    assert [r.total_revenue for r in found] == [31.0, pytest.approx(31.0 * 9 / 31)]
+
+
+def test_prices_keep_their_scale(spark):
+    found = narrow_fact(spark, "month = 1", Decimal("29.0055")).collect()
+    assert [r.total_revenue for r in found] == [29.0055]

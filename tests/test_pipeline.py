@@ -101,6 +101,14 @@ def test_views_serve_sql(spark, tmp_path):
     assert row[0] == 39.0
 
 
+@pytest.mark.parametrize("name", ["dim_accounts", "fact_product_usage", "fact_financials"])
+def test_absent_upstream_is_refused(spark, tmp_path, name):
+    warehouse = Warehouse(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="must be built first"):
+        warehouse.run_all(sources(spark), dt.date(2024, 1, 1), only=[name])
+    assert not any(tmp_path.iterdir())
+
+
 def test_unknown_mart_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="no such mart: dim_users"):
         Warehouse(spark, str(tmp_path)).run_all(
