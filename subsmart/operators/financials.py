@@ -191,13 +191,15 @@ def financials_fact(
     window over an account's month then all happen where the rows lie, and the month
     rows, the bulk of the data, never move.
 
-    Accounts of more than ``GROUP_ROWS`` subscriptions would fill a task. They are
+    Accounts of more than ``GROUP_ROWS`` month rows would fill a task. They are
     split off and take the way through partial aggregation, in which such an account
     shrinks to its product-tier-month groups before each shuffle.
     """
     _check_grain(days_grain)
     tiers, products = _without_copies(tiers), _without_copies(products)
-    small, large = split_hot(covered_periods(subscriptions, calendar, open_until), "account_id")
+    periods = covered_periods(subscriptions, calendar, open_until)
+    months = month_ordinal(F.col("last_day")) - month_ordinal(F.col("first_day")) + 1
+    small, large = split_hot(periods, "account_id", months)
     # A fixed number: the rows grow after this shuffle, so partitions must not be merged.
     by_account = small.repartition(shuffle_partitions(small.sparkSession), "account_id")
     present = calendar_months(calendar)

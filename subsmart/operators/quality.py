@@ -22,7 +22,10 @@ KINDS = (UNIQUE, NOT_NULL, NOT_NULL_WHERE, RELATIONSHIPS, EXPRESSION)
 
 @dataclass(frozen=True)
 class Check:
-    """``argument``: the row filter, the parent ``table.column`` or the condition on the column."""
+    """``argument``: the row filter, the parent ``table.column`` or the condition on the column.
+
+    A uniqueness check without a row filter covers all rows.
+    """
 
     table: str
     column: str
@@ -34,16 +37,10 @@ class Check:
         return f"{self.kind}: {self.argument}" if self.argument else self.kind
 
 
-def run_checks(
-    tables: Mapping[str, DataFrame],
-    checks: Iterable[Check],
-    only_rows: Mapping[tuple[str, str], str] | None = None,
-) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """The report of ``checks`` over ``tables``; nothing runs until it is read.
 
-    ``only_rows`` narrows the uniqueness check of a ``(table, column)`` to rows that
-    satisfy a filter. A check on a column or parent that is not there gets the status
-    ``missing_column``.
+    A check on a column or parent that is not there gets the status ``missing_column``.
     """
     checks = list(checks)
     present, absent = [], []
@@ -56,8 +53,8 @@ def run_checks(
             parts.append(_scan_report(tables[table], scans))
     for check in present:
         if check.kind == UNIQUE:
-            rows = (only_rows or {}).get((check.table, check.column))
-            frame = tables[check.table].filter(rows) if rows else tables[check.table]
+            frame = tables[check.table]
+            frame = frame.filter(check.argument) if check.argument else frame
             parts.append(_report(_repeated_values(frame, check.column), check))
         elif check.kind == RELATIONSHIPS:
             table, column = check.argument.split(".")

@@ -66,17 +66,20 @@ def sized(
     return Sized(F.broadcast(df), rows)
 
 
-def split_hot(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(
+    df: DataFrame, key: str, becomes: Column | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """``df`` without and with the rows whose ``key`` occurs more than ``GROUP_ROWS`` times.
 
-    The second frame is None if there are none. Keys are counted with partial
+    ``becomes`` counts the rows that a row will grow to, one without. The second frame is
+    None if there are none. Keys are counted with partial
     aggregation over the key column alone, and NULL counts as a key.
     """
     hot = sized(
         settle(
             df.groupBy(F.col(key).alias("_hot"))
-            .count()
-            .filter(F.col("count") > GROUP_ROWS)
+            .agg(F.sum(F.lit(1) if becomes is None else becomes).alias("_rows"))
+            .filter(F.col("_rows") > GROUP_ROWS)
             .select("_hot")
         )
     )

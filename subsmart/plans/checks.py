@@ -68,8 +68,9 @@ NOT_NEGATIVE = [
     "fact_product_usage.active_users",
 ]
 
-# An account has one row per version, so its id is unique among current ones.
-ONLY_ROWS = {("dim_accounts", "account_id"): "is_current"}
+# An account has one row per version, so the plain check fails once an account has changed;
+# its id is unique among current ones.
+UNIQUE_WHERE_COLUMNS = {"dim_accounts.account_id": "is_current"}
 
 
 def _split(name: str) -> tuple[str, str]:
@@ -79,6 +80,7 @@ def _split(name: str) -> tuple[str, str]:
 
 CHECKS: list[Check] = [
     *(Check(*_split(name), UNIQUE) for name in UNIQUE_COLUMNS),
+    *(Check(*_split(name), UNIQUE, rows) for name, rows in UNIQUE_WHERE_COLUMNS.items()),
     *(
         Check(table, column, NOT_NULL)
         for table, columns in NOT_NULL_COLUMNS.items()

@@ -218,7 +218,7 @@ def _check_row(check) -> str:
     elif check.kind == EXPRESSION:
         failures = f"(select count(*) from {table} where not ( {column} {check.argument} ))"
     elif check.kind == UNIQUE:
-        rows = "is_current" if table == "dim_accounts" else "true"
+        rows = check.argument or "true"
         failures = f"""(select count(*) from (select {column} from {table}
             where {column} is not null and {rows} group by {column} having count(*) > 1))"""
     else:
@@ -380,6 +380,11 @@ ORACLES: dict[str, str] = {
         select * from new_rows union all
         select * from old_rows
         where financial_month not in (select financial_month from new_rows)""",
+    # A full run and an incremental one leave what one full run leaves.
+    "incremental_product_usage": _with(
+        USAGE_DAY.format(who="account_id", events="usage_events")
+    ),
+    "incremental_financials": _fact("shared_revenue"),
     "dq_unique": _checks(UNIQUE),
     "dq_not_null": _checks(NOT_NULL),
     "dq_not_null_where": _checks(NOT_NULL_WHERE),

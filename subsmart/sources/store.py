@@ -43,7 +43,10 @@ class MartStore:
         self._write(name, df, "static")
 
     def replace_partitions(self, name: str, df: DataFrame) -> None:
-        """Replace the rows whose key value occurs in ``df``; all others stay."""
+        """Replace the rows whose key value occurs in ``df``; all others stay.
+
+        Rows without key are a partition of their own, replaced when ``df`` has such rows.
+        """
         if name not in REPLACE_KEYS:
             raise ValueError(f"{name} has no replace key")
         self._write(name, df, "dynamic" if self.exists(name) else "static")
@@ -58,10 +61,9 @@ class MartStore:
         if key is None:
             df.write.mode("overwrite").parquet(self.path(name))
             return
-        checked = df.withColumn(key, _not_null(key, name))
         # Rebalancing gathers small partitions into one file and splits a hot one
         # over several tasks, where repartitioning by key would use a single task.
-        writer = checked.hint("rebalance", key).write.mode("overwrite").partitionBy(key)
+        writer = df.hint("rebalance", key).write.mode("overwrite").partitionBy(key)
         writer.option("partitionOverwriteMode", overwrite).parquet(self.path(name))
 
 
@@ -116,8 +118,3 @@ class HistoryStore:
         reader = self.spark.read.schema(stored).option("basePath", self.root)
         rows = reader.parquet(*(f"{self.root}/as_of={batch}" for batch in batches))
         return rows.filter(part).select(*schema.names)
-
-
-def _not_null(key: str, table: str) -> Column:
-    message = F.lit(f"{table}: NULL in replace key {key}")
-    return F.when(F.col(key).isNull(), F.raise_error(message).cast("date")).otherwise(F.col(key))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from subsmart.functions.dates import as_date
 from subsmart.operators.spread import Sized, sized
 from subsmart.operators.usage import ACTIVATION, USAGE, relevant_events
+from subsmart.sources.store import MartStore
+
+FACT = "fact_product_usage"
 
 
 def stream_daily_usage(
@@ -41,14 +44,17 @@ def stream_daily_usage(
     )
 
 
-def write_available(counts: DataFrame, table: str, checkpoint: str) -> None:
-    """Append the finished days of all input available now to the partitioned table."""
+def write_available(counts: DataFrame, store: MartStore, checkpoint: str) -> None:
+    """Write the finished days of all input available now to the usage fact of ``store``.
+
+    All rows of a day come in one micro-batch, which replaces the day's partition, so a
+    repeated micro-batch changes nothing and batch runs may write the same table.
+    """
     query = (
-        counts.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("usage_date_day")
+        counts.writeStream.outputMode("append")
+        .foreachBatch(lambda days, _: store.replace_partitions(FACT, days))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(table)
+        .start()
     )
     query.awaitTermination()

@@ -64,13 +64,21 @@ def test_unfinished_full_write_does_not_count(spark, tmp_path):
     assert not store.exists(NAME) and store.read(NAME).isEmpty()
 
 
-def test_missing_key_is_refused(spark, tmp_path):
+def test_rows_without_key_are_one_partition(spark, tmp_path):
     store = MartStore(spark, str(tmp_path))
-    rows = fact(spark, OLD).withColumn("usage_date", F.lit(None).cast("date"))
-    with pytest.raises(Exception, match="NULL in replace key usage_date"):
-        store.replace_partitions(NAME, rows)
+    without = fact(spark, NEW[:1]).withColumn("usage_date", F.lit(None).cast("date"))
+    store.replace(NAME, fact(spark, OLD).unionByName(without))
+    expected = [*short(fact(spark, OLD)), *short(without)]
+    for _ in range(2):
+        assert sorted(short(store.read(NAME))) == sorted(expected)
+        store.replace_partitions(NAME, without)
+    store.replace_partitions(NAME, fact(spark, NEW))  # brings none and leaves them
+    assert sorted(short(store.read(NAME))) == sorted([*REPLACED, *short(without)])
+
+
+def test_tables_without_replace_key_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="no replace key"):
-        store.replace_partitions("dim_tiers", rows)
+        MartStore(spark, str(tmp_path)).replace_partitions("dim_tiers", fact(spark, OLD))
 
 
 def test_frame_form_equals_the_table_form(spark):
