@@ -15,10 +15,12 @@ FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Signo
 NEUTRAL = ["Dr", "Prof"]
 _TITLE = "(?:" + "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)) + ")"
 _NAME = r"\p{Lu}[\p{L}'’\-]{1,40}+"
+# A secret has a letter or digit, of any script; asterisks in place of one are none.
+_CHANGING = r"(?=[^\s\"'\p{L}\p{Nd}]*+[\p{L}\p{Nd}])"
 
 # Kinds of entities in the order in which they are tried.
 KINDS = {
-    "secret": r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[^\s\"']{6,200}+|AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))",
+    "secret": rf"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|secret|token|api_?key)\s{{0,2}}[=:]\s{{0,2}}[\"']?{_CHANGING}[^\s\"']{{6,200}}+|AKIA[A-Z0-9]{{16}}(?![A-Za-z0-9]))",
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,10}[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -55,6 +57,32 @@ SYLLABLES = {
     "Greek": "βα βε βο γα δα δε κα κε κο λα λε λο μα με μο να νε νο πα πε ρα ρε ρο σα σε σο τα τε το".split(),
 }
 BYTES = 128
+# Letters and digits of other scripts are replaced by those of the first alphabet that fits.
+_ALPHABETS = {
+    r"[\p{IsCyrillic}&&\p{Lu}]": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ",
+    r"[\p{IsCyrillic}&&\p{L}]": "абвгдежзийклмнопрстуфхцчшщыьэюя",
+    r"[\p{IsGreek}&&\p{Lu}]": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+    r"[\p{IsGreek}&&\p{L}]": "αβγδεζηθικλμνξοπρστυφχψω",
+    r"[\p{IsLatin}&&\p{Lu}]": "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ",
+    r"[\p{IsLatin}&&\p{L}]": "àáâãäåçèéêëìíîïñòóôõöøùúûüý",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"\p{IsDevanagari}": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    r"\p{IsThai}": "กขคงจฉชซญดตถทธนบปผฝพฟภมยรลวสหอ",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほ",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호",
+    r"\p{IsHan}": "一丁七上下不世中主久之也了事二人今他以们会作你使例先光全公共其",
+    r"\p{Lu}": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    r"\p{L}": "abcdefghijklmnopqrstuvwxyz",
+}
+_DIGITS = {
+    "[٠-٩]": "٠١٢٣٤٥٦٧٨٩",
+    "[۰-۹]": "۰۱۲۳۴۵۶۷۸۹",
+    "[०-९]": "०१२३४५६७८९",
+    "[０-９]": "０１２３４５６７８９",
+    r"\p{Nd}": "0123456789",
+}
 
 
 def _digits(text: Column) -> Column:
@@ -115,16 +143,21 @@ def _byte(i: Column) -> Column:
 
 
 def _letters(text: Column, low: int = 0) -> Column:
-    """``text`` with every letter and digit replaced by one of its kind; digits from ``low``."""
+    """``text`` with every letter and digit replaced by one of its kind; ASCII digits from ``low``."""
     hexadecimal = text.rlike(r"^[0-9a-f]{8,}$")
 
     def one(c: Column, i: Column) -> Column:
         b = _byte(i)
         letter = lambda first, n: F.char(F.lit(ord(first)) + b % n)
+        other = c
+        for fits, alphabet in reversed([*_DIGITS.items(), *_ALPHABETS.items()]):
+            picked = F.substring(F.lit(alphabet), b % len(alphabet) + 1, F.lit(1))
+            other = F.when(c.rlike(fits), picked).otherwise(other)
         return (
             F.when(c.rlike("[0-9]"), (F.lit(low) + b % (10 - low)).cast("string"))
             .when(c.rlike("[a-z]"), F.when(hexadecimal, letter("a", 6)).otherwise(letter("a", 26)))
             .when(c.rlike("[A-Z]"), letter("A", 26))
+            .when(c.rlike(r"[^\x00-\x7f]"), other)
             .otherwise(c)
         )
 
@@ -186,13 +219,15 @@ def _surname() -> Column:
 def surrogate(key: str) -> Column:
     """The replacement of ``canonical`` in the row's ``attempt``, of the row's ``kind``."""
     kind, text = F.col("kind"), F.col("canonical")
-    value = F.regexp_extract(text, r"^((?:[A-Za-z_]+\s*[=:]\s*[\"']?|AKIA)?)(.*)$", 2)
-    prefix = F.regexp_extract(text, r"^((?:[A-Za-z_]+\s*[=:]\s*[\"']?|AKIA)?)(.*)$", 1)
+    value = F.regexp_extract(text, r"(?s)^((?:[A-Za-z_]+\s*[=:]\s*[\"']?|AKIA)?)(.*)$", 2)
+    prefix = F.regexp_extract(text, r"(?s)^((?:[A-Za-z_]+\s*[=:]\s*[\"']?|AKIA)?)(.*)$", 1)
+    # Where the originals leave too few others of their format, a draw grows.
+    more = _syllables("Latin", (F.col("attempt") - 9).cast("int"), False)
     host = F.regexp_extract(text, r"(\.[a-z]+)$", 1)
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(i) % 254 + 1).cast("string"))
     return (
-        F.when(kind == "secret", F.concat(prefix, _letters(value)))
-        .when(kind == "email", F.concat(_letters(F.substring(text, F.lit(1), F.length(text) - F.length(host))), host))
+        F.when(kind == "secret", F.concat(prefix, _letters(value), more))
+        .when(kind == "email", F.concat(more, _letters(F.substring(text, F.lit(1), F.length(text) - F.length(host))), host))
         .when(kind == "iban", F.concat(F.substring(text, 1, 2), _letters(F.substring(text, F.lit(3), F.length(text)))))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(_letters(text), F.lit(2), F.length(text))))
         .when(kind == "ip", F.array_join(octets, "."))
@@ -209,7 +244,8 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     A surrogate is drawn from a keyed hash, so it is the same in every document and run.
     It is drawn again while it equals any original of its kind or the surrogate of
     another original; of several with the same one, the least original keeps it. The
-    draws after the first concern collisions alone.
+    draws after the first concern collisions alone. From the eleventh on, secrets and
+    addresses get letters added, as names do, so a format with few values ends too.
     """
     same = ["kind", "canonical"]
     group = ["kind", "variant", "canonical"]

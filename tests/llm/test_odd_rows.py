@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +104,18 @@ def test_private_data(docs):
     assert len(rows) == docs.count()
 
 
+def test_private_values_without_plain_letters(spark):
+    same = ["password: ******", "secret: ......", "token: ½½½½½½"]
+    changed = ["token: паролище", "token: κωδικός", "token=密碼密碼密碼", "token=١٢٣٤٥٦", "token: ab\u2028cd\u2028ef", "_@-.de"]
+    few = [f"password: *****{i}" for i in range(10)]
+    rows = list(enumerate(same + changed + few))
+    out = {r.doc_id: r for r in private_data.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    assert all((out[i].text == text) == (text in same) for i, text in rows)
+    assert all(out[i].n_replaced == (text not in same) for i, text in rows)
+    assert len({r.text for r in out.values()} | {text for _, text in rows}) == 2 * len(rows) - len(same)
+    assert re.fullmatch("token: [а-я]{8}", out[3].text) and re.fullmatch("token=[٠-٩]{6}", out[6].text)
+
+
 def test_fingerprints(docs):
     rows = fingerprints.compare_edited(docs).collect()
     assert len(rows) == docs.count()
