@@ -14,13 +14,16 @@ MALE = ["Mr", "Herr", "Señor", "Sr", "Monsieur", "Signor", "Господин",
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Signora", "Госпожа", "Κυρία"]
 NEUTRAL = ["Dr", "Prof"]
 _TITLE = "(?:" + "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)) + ")"
-_NAME = r"\p{Lu}[\p{L}'’\-]{1,40}+"
+# A name ends with a letter, without the s of a possessive.
+_NAME = r"\p{Lu}(?:\p{L}|['’\-](?=\p{L})(?![sS](?!\p{L})))++"
+_WORD = rf"(?<!\p{{L}}){_NAME}"
+_KEY = r"(?i:password|passwd|pwd|secret|token|api_?key)\s{0,2}[=:]\s{0,2}[\"']?"
 # A secret has a letter or digit, of any script; asterisks in place of one are none.
 _CHANGING = r"(?=[^\s\"'\p{L}\p{Nd}]*+[\p{L}\p{Nd}])"
 
 # Kinds of entities in the order in which they are tried.
 KINDS = {
-    "secret": rf"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|secret|token|api_?key)\s{{0,2}}[=:]\s{{0,2}}[\"']?{_CHANGING}[^\s\"']{{6,200}}+|AKIA[A-Z0-9]{{16}}(?![A-Za-z0-9]))",
+    "secret": rf"(?<![A-Za-z0-9])(?:{_KEY}{_CHANGING}[^\s\"']{{6,}}+|AKIA[A-Z0-9]{{16}}(?![A-Za-z0-9]))",
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,10}[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -102,7 +105,8 @@ def parts(found: DataFrame) -> DataFrame:
     """What of each mention is replaced: ``kind``, ``canonical``, ``variant``, ``place``, one row each.
 
     Writings of one thing have one ``canonical``: numbers their digits (a phone number its
-    last ten), addresses lower case. Of a person, each name is a part, so the same surname
+    last ten), addresses lower case, account numbers no blanks, secrets the value without
+    the key word. Of a person, each name is a part, so the same surname
     is replaced alike with and without given name; ``variant`` has script and gender.
     """
     mention = F.col("mention")
@@ -128,6 +132,8 @@ def parts(found: DataFrame) -> DataFrame:
         F.when(kind == "phone", F.substring(digits, F.greatest(F.length(digits) - 9, F.lit(1)), F.lit(10)))
         .when(kind == "card", digits)
         .when(kind == "email", F.lower(mention))
+        .when(kind == "iban", F.replace(mention, F.lit(" ")))
+        .when(kind == "secret", F.regexp_replace(mention, f"^{_KEY}", ""))
         .otherwise(mention)
     )
     one = F.array(row(kind, canonical, F.lit(""), F.lit(0)))
@@ -219,8 +225,8 @@ def _surname() -> Column:
 def surrogate(key: str) -> Column:
     """The replacement of ``canonical`` in the row's ``attempt``, of the row's ``kind``."""
     kind, text = F.col("kind"), F.col("canonical")
-    value = F.regexp_extract(text, r"(?s)^((?:[A-Za-z_]+\s*[=:]\s*[\"']?|AKIA)?)(.*)$", 2)
-    prefix = F.regexp_extract(text, r"(?s)^((?:[A-Za-z_]+\s*[=:]\s*[\"']?|AKIA)?)(.*)$", 1)
+    prefix = F.regexp_extract(text, r"^((?:AKIA(?=[A-Z0-9]{16}$))?)", 1)
+    value = F.substring(text, F.length(prefix) + 1, F.length(text))
     # Where the originals leave too few others of their format, a draw grows.
     more = _syllables("Latin", (F.col("attempt") - 9).cast("int"), False)
     host = F.regexp_extract(text, r"(\.[a-z]+)$", 1)
@@ -285,30 +291,59 @@ def _rendered(mention: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.split(mention, ""), one), "")
 
 
+def _spaced(mention: Column, text: Column) -> Column:
+    """``text``, which has no blanks, with blanks where ``mention`` has them."""
+
+    def one(c: Column, i: Column) -> Column:
+        before = F.length(F.replace(F.substring(mention, F.lit(1), i), F.lit(" ")))
+        return F.when(c == " ", c).otherwise(F.substring(text, before + 1, F.lit(1)))
+
+    return F.array_join(F.transform(F.split(mention, ""), one), "")
+
+
 def replacements(texts: DataFrame, key: str) -> DataFrame:
-    """``mention`` and ``new`` for every distinct mention in ``texts``."""
+    """``mention``, ``new`` and ``names`` for every distinct mention in ``texts``.
+
+    ``names`` has a person's names (``name``, ``new``); it is null for other kinds.
+    """
     found = stored(parts(stored(mentions(texts))))
     drawn = found.join(surrogates(found, key), ["kind", "variant", "canonical"])
     # A mention has one part, or those of a name of three words at most.
     by_mention = drawn.groupBy("mention").agg(
-        F.min("kind").alias("kind"), F.sort_array(F.collect_list(F.struct("place", "new"))).alias("parts")
+        F.min("kind").alias("kind"),
+        F.sort_array(F.collect_list(F.struct("place", "new", F.col("canonical").alias("name")))).alias("parts"),
     )
     news = F.col("parts.new")
     mention, kind = F.col("mention"), F.col("kind")
+    person = kind.isin("given", "surname")
     title = F.element_at(F.split(mention, " "), 1)
+    names = F.transform("parts", lambda x: F.struct(x["name"].alias("name"), x["new"].alias("new")))
+    key_word = F.regexp_extract(mention, f"^((?:{_KEY})?)", 1)
     new = (
-        F.when(kind.isin("given", "surname"), F.concat_ws(" ", title, F.array_join(news, " ")))
+        F.when(person, F.concat_ws(" ", title, F.array_join(news, " ")))
         .when(kind.isin("phone", "card"), _rendered(mention, F.get(news, 0)))
+        .when(kind == "iban", _spaced(mention, F.get(news, 0)))
+        .when(kind == "secret", F.concat(key_word, F.get(news, 0)))
         .otherwise(F.get(news, 0))
     )
-    return by_mention.select("mention", new.alias("new"))
+    return by_mention.select("mention", new.alias("new"), F.when(person, names).alias("names"))
+
+
+def _renamed(word: Column) -> Column:
+    """The surrogate of a name that the text has with a title, of the first if several; else ``word``.
+
+    Of a hyphenated word that is no such name, each part is looked up.
+    """
+    known = lambda x: F.coalesce(F.get(F.col("_named"), (F.array_position("_names", x) - 1).cast("int")), x)
+    return F.when(known(word) != word, known(word)).otherwise(F.array_join(F.transform(F.split(word, "-"), known), "-"))
 
 
 def replace_private(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text`` and ``n_replaced``, how many stand in it.
 
     Replaced are credentials, e-mail addresses, account and card numbers, IP addresses,
-    phone numbers and titled names. A replacement has its original's kind and format; a
+    phone numbers and titled names; these names also where they stand without a title in
+    the same text, before or after, each word counted by itself. A replacement has its original's kind and format; a
     card number's check digit stays right; names keep script and gender. Equal originals
     are replaced alike in all documents, different ones differently. Other text stays.
 
@@ -324,16 +359,33 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     news = stored(
         inside.join(sized(pairs).frame, "mention")
         .groupBy(F.col("_key").alias("_of"))
-        .agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"))
-        .select("_of", F.col("_new.new").alias("_new"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "new", "names"))).alias("_new"))
+        .withColumn("_names", F.flatten(F.filter("_new.names", lambda x: x.isNotNull())))
+        .select(
+            "_of",
+            F.col("_new.new").alias("_new"),
+            F.when(F.size("_names") > 0, F.col("_names.name")).alias("_names"),
+            F.col("_names.new").alias("_named"),
+        )
     )
+    outside = F.split("text", ANY)
+    words = lambda part: F.regexp_extract_all(part, F.lit(_WORD), F.lit(0))
+
+    def untitled(part: Column) -> Column:
+        # One more gap than words.
+        news = F.transform(words(part), _renamed)
+        joined = F.zip_with(F.split(part, _WORD), news, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
+        return F.when(F.col("_names").isNull(), part).otherwise(F.array_join(joined, ""))
+
     between = F.transform(
-        F.split("text", ANY), lambda part, i: F.concat(part, F.coalesce(F.get(F.col("_new"), i), F.lit("")))
+        outside, lambda part, i: F.concat(untitled(part), F.coalesce(F.get(F.col("_new"), i), F.lit("")))
     )
+    renamed = F.filter(F.flatten(F.transform(outside, words)), lambda word: _renamed(word) != word)
+    n_untitled = F.when(F.col("_names").isNull(), 0).otherwise(F.size(renamed))
     return (
         keyed.join(sized(news).frame, F.col("_key") == F.col("_of"), "left")
+        .withColumn("n_replaced", (F.coalesce(F.size("_new"), F.lit(0)) + n_untitled).cast("long"))
         .withColumn("text", F.when(F.col("_new").isNull(), F.col("text")).otherwise(F.array_join(between, "")))
-        .withColumn("n_replaced", F.coalesce(F.size("_new"), F.lit(0)).cast("long"))
         .select(*docs.columns, "n_replaced")
     )
 

@@ -239,6 +239,26 @@ def test_private_data(spark):
     assert names[2] == names[4] and names[1] != names[3]
 
 
+def test_private_data_is_found_whole(spark):
+    long = "".join("abcdefghijklmnopqrstuvwxyz0123456789"[i * i % 36] for i in range(300))
+    rows = [
+        (1, f'token = "{long}" PASSWORD=hunter22 Token: hunter22 API_KEY=hunter22'),
+        (2, "GB82WEST12345698765432 or GB82 WEST 1234 5698 7654 32"),
+        (3, "Meyer? Mrs Clara Meyer called. Meyer's boss and Clara paid; Meyer-Schulz, Meyers and Other did not."),
+        (4, "Meyer alone"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in private_data.replace_private(docs, "key").collect()}
+    secret = re.fullmatch(r'token = "(\S{300})" PASSWORD=(\S{8}) Token: (\S{8}) API_KEY=(\S{8})', out[1].text)
+    assert secret[1][200:] != long[200:] and secret[2] == secret[3] == secret[4] != "hunter22" and out[1].n_replaced == 4
+    iban = out[2].text.split(" or ")
+    assert iban[0] == iban[1].replace(" ", "") != "GB82WEST12345698765432" and [len(x) for x in iban[1].split()] == [4] * 5 + [2]
+    pattern = r"(\w+)\? Mrs (\w+) (\w+) called\. (\w+)'s boss and (\w+) paid; (\w+)-Schulz, Meyers and Other did not\."
+    names = re.fullmatch(pattern, out[3].text)
+    assert names[1] == names[3] == names[4] == names[6] != "Meyer" and names[2] == names[5] != "Clara"
+    assert out[3].n_replaced == 5 and (out[4].text, out[4].n_replaced) == ("Meyer alone", 0)
+
+
 def test_surrogates_are_distinct(spark):
     rows = [(i, f"Mr Name{chr(97 + i // 26)}{chr(97 + i % 26)} Family{chr(97 + i // 26)}{chr(97 + i % 26)}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
