@@ -43,6 +43,13 @@ OTHER_WORDS = set(
     "comments commentlist disqus reply replies respond discussion hidden search skip".split()
 )
 ARTICLE_TAGS = {"article", "main"}
+# Parts of running text: no paths of their own, so their text stands in the container around them.
+INNER_TAGS = set(
+    "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure "
+    "figcaption".split()
+)
+# The winner moves up to a container with so much more text beside it, as a share of the winner's.
+MORE_DIRECT, MORE_BELOW = 0.1, 0.5
 NEVER_OTHER = {"html", "body", "main"}
 
 TAG = re.compile(
@@ -109,7 +116,7 @@ def parse(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             if text:
                 top = stack[-1]
-                paths = tuple(n.path for n in stack[1:] if n.tag != "p")
+                paths = tuple(n.path for n in stack[1:] if n.tag not in INNER_TAGS)
                 blocks.append(Block(text, linked, paths, top.other))
         parts.clear()
         linked = 0
@@ -178,9 +185,13 @@ def parse(page: str) -> list[Block]:
         top = stack[-1]
         article = top.article or tag in ARTICLE_TAGS
         other = top.other or _is_other(tag, attributes, top.article)
-        path = f"{top.path}>{generalised(tag, attributes)}" if tag != "p" else top.path
+        path = f"{top.path}>{generalised(tag, attributes)}" if tag not in INNER_TAGS else top.path
         stack.append(Node(tag, path, other, article))
     end_block()
+    if any(b.containers for b in blocks) and any(_worth(b) and not b.containers for b in blocks):
+        # Text beside containers: the page itself is one.
+        for block in blocks:
+            block.containers = ("", *block.containers)
     return blocks
 
 
@@ -201,10 +212,31 @@ def container_scores(blocks: list[Block]) -> dict[str, float]:
     return scores
 
 
-def best_container(blocks: list[Block]) -> str | None:
-    """The path of the highest score, the deepest of equals."""
-    scores = container_scores(blocks)
-    return max(scores, key=lambda p: (scores[p], p.count(">"), p), default=None)
+def best_container(blocks: list[Block], scores: dict[str, float] | None = None) -> str | None:
+    """The path of the highest score, the deepest of equals, moved up to where the article's rest stands.
+
+    It moves to the innermost article or main element around it; to a container with
+    ``MORE_DIRECT`` of its worth directly in it; and to one below the body with
+    ``MORE_BELOW`` of its worth in other containers.
+    """
+    scores = container_scores(blocks) if scores is None else scores
+    best = max(scores, key=lambda p: (scores[p], p.count(">"), p), default=None)
+    if best is None:
+        return None
+    kind = lambda path: path.rpartition(">")[2].partition(".")[0]
+    around = next(b.containers for b in blocks if best in b.containers)
+    around = around[: around.index(best)]
+    article = next((p for p in reversed(around) if kind(p) in ARTICLE_TAGS), None)
+    if kind(best) not in ARTICLE_TAGS and article is not None:
+        best, around = article, around[: around.index(article)]
+    for path in reversed(around):
+        inside = sum(_worth(b) for b in blocks if best in b.containers)
+        beside = [b for b in blocks if path in b.containers and best not in b.containers]
+        direct = sum(_worth(b) for b in beside if b.containers[-1] == path)
+        below = 0.0 if kind(path) in ("", "html", "body") else sum(map(_worth, beside))
+        if direct >= MORE_DIRECT * inside or below >= MORE_BELOW * inside:
+            best = path
+    return best
 
 
 def main_text(blocks: list[Block], winners: list[str]) -> str:
@@ -221,9 +253,10 @@ def _votes(batches):
     for batch in batches:
         hosts, paths, votes = [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            scores = container_scores(parse(page or ""))
+            blocks = parse(page or "")
+            scores = container_scores(blocks)
             if scores:
-                best = max(scores, key=lambda p: (scores[p], p.count(">"), p))
+                best = best_container(blocks, scores)
                 hosts.append(host), paths.append(best), votes.append(scores[best] / sum(scores.values()))
         yield pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.float64())],

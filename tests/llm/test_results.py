@@ -206,6 +206,28 @@ def test_html_blocks():
     assert html_text.main_text(html_text.parse("<p>open <!-- no end"), []) == "open"
 
 
+def test_html_article_at_several_levels():
+    say = lambda word, n: (word + " ") * n
+    paragraphs = f"<h1>Title</h1><p>{say('first', 50)}</p><p>{say('second', 50)}</p>"
+    lists = "".join(f"<li>{say('point', 20)}</li>" for _ in range(10))
+    below = [
+        f"<ul>{lists}</ul>",
+        "<table>" + f"<tr><td>{say('cell', 40)}</td><td>{say('next', 40)}</td></tr>" * 5 + "</table>",
+        f"<section class=s>{say('part', 60)}</section>" * 5,
+        f"<blockquote><p>{say('quoted', 200)}</p></blockquote>",
+        f"<pre>{say('code', 300)}</pre>",
+        "<dl>" + f"<dt>term<dd>{say('meaning', 40)}" * 5 + "</dl>",
+    ]
+    for around in ("<article>{}</article>", "<div class=post>{}</div>"):
+        for rest in below:
+            page = f"<body><div class=top>{say('teaser', 5)}</div>{around.format(paragraphs + rest)}</body>"
+            text = html_text.main_text(html_text.parse(page), [])
+            blocks = html_text.parse(paragraphs + rest)
+            assert text == "\n\n".join(b.text for b in blocks)
+    page = f"<p>{say('first', 50)}</p><ul>{lists}</ul><div>{say('part', 5)}</div>"
+    assert html_text.main_text(html_text.parse(page), []).startswith("first")
+
+
 def test_host_consensus(spark):
     # On the last page the other container is longer; the host's other pages outvote it.
     usual = "<body><div class='a1'><p>{}</p></div><div class='b'><p>{}</p></div></body>"
