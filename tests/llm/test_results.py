@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from subsmart.llm import fingerprints, html_text, language, line_dedup, private_data, registry, simhash, toxicity
@@ -288,6 +289,17 @@ def test_surrogates_are_distinct(spark):
     assert len({r.new for r in pairs}) == len(pairs) == 400
 
 
+def test_documents_in_three_languages_stay(spark, documents, folder):
+    by_language = {r.lang: r.text for r in documents.collect() if len(r.text) > 1000}
+    text = "\n".join(x[:1000] for _, x in sorted(by_language.items())[:3])
+    rows = documents.withColumn("n_chars", F.col("n_chars").cast("long"))
+    extra = rows.limit(1).withColumn("doc_id", F.lit(-5).cast("long")).withColumn("text", F.lit(text))
+    blank = extra.withColumn("doc_id", F.lit(-6).cast("long")).withColumn("text", F.lit("123 ..."))
+    docs = rows.unionByName(extra).unionByName(blank)
+    kept = {r.doc_id for r in corpus_pipeline.one_language(spark, docs, folder).select("doc_id").collect()}
+    assert -5 in kept and -6 not in kept
+
+
 def test_pipeline(spark, folder):
     documents = spark.read.parquet(f"{folder}/documents.parquet")
     docs, sizes = documents, []
