@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from subsmart.llm import decontamination, fingerprints, html_text, language, line_dedup, mixing, private_data, simhash, token_counts, toxicity
+from subsmart.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    html_text,
+    language,
+    line_dedup,
+    manifest,
+    mixing,
+    private_data,
+    resampling,
+    simhash,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,10 +30,16 @@ QUERIES = {
     "op8_private_data": private_data.op8_private_data,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_resampling": resampling.op11_resampling,
+    "op12_manifest": manifest.op12_manifest,
+    "op13_chat": chat.op13_chat,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
     "op7_decontamination": decontamination.ORACLE,
+    "op11_resampling": resampling.ORACLE,
+    "op12_manifest": manifest.ORACLE,
+    "op13_chat": chat.ORACLE,
 }
