@@ -108,23 +108,48 @@ def advance_current(
     or after ``as_of``, the change replaces it, which keeps one version per account and
     start day.
     """
-    today = date_id(as_date(as_of))
     old = current.select(
         F.col("account_id").alias("_key"), F.struct(*COLUMNS).alias("old")
     )
     new = batch.select("account_id", F.struct(*batch.columns).alias("new"))
     pair = old.join(new, F.col("_key") == F.col("account_id"), "full_outer")
+    kept = F.when(F.col("_key").isNotNull() & ~_differs(), F.col("old"))
+    return pair.select(F.inline(_present(kept, *_closed_and_opened(as_of)))).select(*COLUMNS)
 
-    is_new = F.col("_key").isNull()
-    differs = F.col("new").isNotNull() & F.col("old").isNotNull() & ~_same("old", "new")
+
+def batch_changes(
+    current: DataFrame, batch: DataFrame, as_of: dt.date | str | Column
+) -> DataFrame:
+    """Only the versions that the batch closes and opens; none where nothing changed.
+
+    ``current`` needs the open versions of the batch's accounts; others are not looked at.
+    """
+    old = current.select(
+        F.col("account_id").alias("_key"), F.struct(*COLUMNS).alias("old")
+    )
+    new = batch.select("account_id", F.struct(*batch.columns).alias("new"))
+    pair = new.join(old, F.col("_key") == F.col("account_id"), "left")
+    changed = pair.filter(F.col("_key").isNull() | _differs())
+    return changed.select(F.inline(_present(*_closed_and_opened(as_of)))).select(*COLUMNS)
+
+
+def _differs() -> Column:
+    return F.col("new").isNotNull() & F.col("old").isNotNull() & ~_same("old", "new")
+
+
+def _closed_and_opened(as_of: dt.date | str | Column) -> tuple[Column, Column]:
+    """What becomes of a pair of ``old`` (with ``_key``) and ``new``; NULL where nothing does."""
+    today, is_new = date_id(as_date(as_of)), F.col("_key").isNull()
     replaces = F.col("old.start_date_id") >= today
-    kept = F.when(~is_new & ~differs, F.col("old"))
-    closed = F.when(differs & ~replaces, _version("old", end=today))
+    closed = F.when(_differs() & ~replaces, _version("old", end=today))
     opened = F.when(
         is_new, _version("new", start=F.col("new.signup_date_id"))
-    ).when(differs, _version("new", start=F.greatest(today, F.col("old.start_date_id"))))
-    versions = F.filter(F.array(kept, closed, opened), lambda version: version.isNotNull())
-    return pair.select(F.inline(versions)).select(*COLUMNS)
+    ).when(_differs(), _version("new", start=F.greatest(today, F.col("old.start_date_id"))))
+    return closed, opened
+
+
+def _present(*versions: Column) -> Column:
+    return F.filter(F.array(*versions), lambda version: version.isNotNull())
 
 
 def _version(side: str, start: Column | None = None, end: Column | None = None) -> Column:

@@ -13,11 +13,12 @@ from subsmart.operators import staging
 from subsmart.operators.calendar import FIRST_DAY, build_calendar, extend_calendar
 from subsmart.operators.dimensions import build_products, build_tiers
 from subsmart.operators.financials import financials_fact
-from subsmart.operators.history import account_batch, advance_current
+from subsmart.operators.history import account_batch
 from subsmart.operators.objects import object_counts_fact
 from subsmart.operators.usage import product_usage_fact
+from subsmart.sources.generations import GenerationStore
+from subsmart.sources.history_log import HistoryLog
 from subsmart.sources.samples import RawSources
-from subsmart.sources.store import HistoryStore, MartStore
 
 FACT_INPUT_DATE = {"object_counts_daily": "date", "usage_events": "event_time"}
 
@@ -27,8 +28,8 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.store = MartStore(spark, root)
-        self.history = HistoryStore(spark, self.store.path("dim_accounts"))
+        self.store = GenerationStore(spark, root)
+        self.history = HistoryLog(spark, self.store.path("dim_accounts"))
 
     def read(self, name: str) -> DataFrame:
         return self.history.read() if name == "dim_accounts" else self.store.read(name)
@@ -72,9 +73,8 @@ class Warehouse:
         if full_refresh or not self.store.exists("dim_dates"):
             self.store.replace("dim_dates", build_calendar(self.spark, as_of, start))
         else:
-            self.store.append(
-                "dim_dates", extend_calendar(self.store.read("dim_dates"), as_of, start)
-            )
+            days = extend_calendar(self.store.read("dim_dates"), as_of, start)
+            self.store.upsert("dim_dates", days, "date_id")
 
     def _tiers(self, staged, as_of, start, full_refresh, since) -> None:
         self.store.replace("dim_tiers", build_tiers(staged["subscriptions"]))
@@ -84,9 +84,7 @@ class Warehouse:
 
     def _accounts(self, staged, as_of, start, full_refresh, since) -> None:
         batch = account_batch(staged["accounts"], self._upstream("dim_dates"))
-        day = as_of.year * 10000 + as_of.month * 100 + as_of.day
-        current = self.history.current(before=day)
-        self.history.write(advance_current(current, batch, as_of), as_of)
+        self.history.apply(batch, as_of)
 
     def _objects(self, staged, as_of, start, full_refresh, since) -> None:
         rows = self._input(staged, "object_counts_daily", "fact_object_counts", full_refresh, since)

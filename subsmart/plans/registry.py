@@ -24,7 +24,8 @@ from subsmart.plans.build import Warehouse, stage_all
 from subsmart.plans.checks import CHECKS
 from subsmart.session import fit_shuffles
 from subsmart.sources import samples
-from subsmart.sources.store import HistoryStore, MartStore
+from subsmart.sources.generations import GenerationStore
+from subsmart.sources.history_log import HistoryLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,11 +168,13 @@ def dim_dates(spark, folder):
 @query
 def calendar_extend(spark, folder):
     """A calendar built as of the last order, extended as of the last event."""
-    store = MartStore(spark, scratch_folder(spark))
+    store = GenerationStore(spark, scratch_folder(spark))
     start = _first_year(spark, folder)
     store.replace("dim_dates", build_calendar(spark, _last_order_day(spark, folder), start))
     existing = store.read("dim_dates")
-    store.append("dim_dates", extend_calendar(existing, _last_event_day(spark, folder), start))
+    days = extend_calendar(existing, _last_event_day(spark, folder), start)
+    for _ in range(2):  # repeated after a failure, it adds nothing
+        store.upsert("dim_dates", days, "date_id")
     return store.read("dim_dates")
 
 
@@ -231,14 +234,14 @@ def scd2_second_batch(spark, folder):
 
 
 def _stored_history(spark, folder):
-    store = HistoryStore(spark, scratch_folder(spark))
+    store = HistoryLog(spark, scratch_folder(spark))
     _load_history(store, _batches(spark, folder, 3))
     return store
 
 
 def _load_history(store, batches):
     for batch, day in zip(batches, [FIRST_LOAD, *BATCH_DAYS]):
-        store.write(hist.advance_current(store.current(), batch, day), day)
+        store.apply(batch, day)
 
 
 # ---- facts ----------------------------------------------------------------
@@ -362,7 +365,7 @@ def replace_object_counts(spark, folder):
 @query
 def replace_product_usage(spark, folder):
     """From 2024-01-16 on every usage event turns out to be an activation."""
-    events, store = _events(spark, folder), MartStore(spark, scratch_folder(spark))
+    events, store = _events(spark, folder), GenerationStore(spark, scratch_folder(spark))
     products = _products(events)
     store.replace("fact_product_usage", usage.product_usage_fact(events, products))
     corrected = events.filter(
@@ -376,7 +379,7 @@ def replace_product_usage(spark, folder):
 def replace_financials(spark, folder):
     """Months touched by subscriptions started from 2000 on are replaced by those alone."""
     subscriptions, *dimensions = _financial_inputs(spark, folder)
-    store = MartStore(spark, scratch_folder(spark))
+    store = GenerationStore(spark, scratch_folder(spark))
     store.replace("fact_financials", fin.financials_fact(subscriptions, *dimensions))
     recent = subscriptions.filter(F.col("start_date") >= F.lit(dt.date(2000, 1, 1)))
     store.replace_partitions("fact_financials", fin.financials_fact(recent, *dimensions))
