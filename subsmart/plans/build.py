@@ -9,19 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subsmart.functions.dates import as_date, month_start
-from subsmart.operators import staging
+from subsmart.operators import changes, staging
 from subsmart.operators.calendar import FIRST_DAY, build_calendar, extend_calendar
 from subsmart.operators.dimensions import build_products, build_tiers
 from subsmart.operators.financials import financials_fact
 from subsmart.operators.history import account_batch
 from subsmart.operators.objects import object_counts_fact
+from subsmart.operators.spread import settle
 from subsmart.operators.usage import product_usage_fact
+from subsmart.schemas import PRINTS
 from subsmart.sources.generations import GenerationStore
 from subsmart.sources.history_log import HistoryLog
 from subsmart.sources.samples import RawSources
 
-FACT_INPUT_DATE = {"object_counts_daily": "date", "usage_events": "event_time"}
-
 
 class Warehouse:
     """The marts below one root folder, built from raw sources."""
@@ -56,10 +56,11 @@ class Warehouse:
     ) -> None:
         """Build every mart, or those in ``only``, with the calendar reaching past ``as_of``.
 
-        A fact that exists already gets the keys of the batch replaced; ``full_refresh``
-        rewrites it. ``since`` limits an incremental run to the days from then on, and
-        to whole months for financials. The account history always advances by one
-        batch; its versions cannot be rebuilt from the current sources.
+        A fact that exists already gets the keys replaced whose source rows are not those it
+        was built from, however old; ``full_refresh`` rewrites it. ``since`` trusts the
+        caller instead and replaces the days from then on, or whole months for financials.
+        The account history always advances by one batch; its versions cannot be rebuilt
+        from the current sources.
         """
         wanted = set(ORDER if only is None else only)
         unknown = wanted - set(ORDER)
@@ -87,39 +88,63 @@ class Warehouse:
         self.history.apply(batch, as_of)
 
     def _objects(self, staged, as_of, start, full_refresh, since) -> None:
-        rows = self._input(staged, "object_counts_daily", "fact_object_counts", full_refresh, since)
-        self._fact("fact_object_counts", object_counts_fact(rows), full_refresh)
+        rows = staged["object_counts_daily"]
+
+        def build(keys):
+            return object_counts_fact(self._input(rows, "date", keys, since))
+
+        self._fact("fact_object_counts", changes.object_prints(rows), build, full_refresh, since)
 
     def _usage(self, staged, as_of, start, full_refresh, since) -> None:
-        rows = self._input(staged, "usage_events", "fact_product_usage", full_refresh, since)
-        products = self._upstream("dim_products")
-        self._fact("fact_product_usage", product_usage_fact(rows, products), full_refresh)
+        rows, products = staged["usage_events"], self._upstream("dim_products")
+
+        def build(keys):
+            return product_usage_fact(self._input(rows, "event_time", keys, since), products)
+
+        prints = changes.usage_prints(rows, products)
+        self._fact("fact_product_usage", prints, build, full_refresh, since)
 
     def _financials(self, staged, as_of, start, full_refresh, since) -> None:
         calendar = self._upstream("dim_dates")
-        if self._limited("fact_financials", full_refresh, since):
-            calendar = calendar.filter(F.col("full_date") >= month_start(as_date(since)))
-        fact = financials_fact(
-            staged["subscriptions"],
-            self._upstream("dim_tiers"),
-            self._upstream("dim_products"),
-            calendar,
-        )
-        self._fact("fact_financials", fact, full_refresh)
-
-    def _input(self, staged, source, fact, full_refresh, since) -> DataFrame:
-        if not self._limited(fact, full_refresh, since):
-            return staged[source]
-        return staged[source].filter(F.col(FACT_INPUT_DATE[source]) >= as_date(since))
-
-    def _limited(self, fact, full_refresh, since) -> bool:
-        return since is not None and not full_refresh and self.store.exists(fact)
-
-    def _fact(self, name: str, df: DataFrame, full_refresh: bool) -> None:
-        if full_refresh:
-            self.store.replace(name, df)
+        inputs = staged["subscriptions"], self._upstream("dim_tiers"), self._upstream("dim_products")
+
+        def build(keys):
+            days, month = calendar, month_start(F.col("full_date"))
+            if keys is not None:
+                days = changes.only_keys(calendar, month, keys)
+            elif since is not None:
+                days = calendar.filter(F.col("full_date") >= month_start(as_date(since)))
+            return financials_fact(*inputs, days)
+
+        prints = changes.financial_prints(*inputs, calendar)
+        self._fact("fact_financials", prints, build, full_refresh, since)
+
+    def _input(self, rows: DataFrame, column: str, keys: DataFrame | None, since) -> DataFrame:
+        """The rows of the days in ``keys``, or from ``since`` on."""
+        if keys is not None:
+            return changes.only_keys(rows, F.to_date(column), keys)
+        return rows if since is None else rows.filter(F.col(column) >= as_date(since))
+
+    def _fact(self, name: str, prints: DataFrame, build, full_refresh: bool, since) -> None:
+        """Write a fact, then the prints of what it was built from.
+
+        Should a run die in between, the next one finds the same keys changed again.
+        """
+        state = PRINTS[name]
+        if full_refresh or not self.store.exists(name):
+            prints = settle(prints)
+            self.store.replace(name, build(None))
+            self.store.replace(state, prints)
+        elif since is None:
+            changed = settle(changes.changed_keys(prints, self.store.read(state)))
+            if not changed.isEmpty():
+                self.store.replace_partitions(name, build(changed))
+                self.store.upsert(state, changed, "key")
         else:
-            self.store.replace_partitions(name, df)
+            # Nothing is known any more of what the rows from then on are built from.
+            first = month_start(as_date(since))
+            self.store.replace(state, self.store.read(state).filter(F.col("key") < first))
+            self.store.replace_partitions(name, build(None))
 
 
 BUILDERS = {

@@ -273,6 +273,10 @@ ORACLES: dict[str, str] = {
               from lineitem)""",
     "dim_dates": _with("select * from dim_dates"),
     "calendar_extend": _with("select * from dim_dates"),
+    "calendar_upsert": _with(
+        """select * replace (is_weekend and year >= (select year(max(ts)) + 2 from events)
+                             as is_holiday) from dim_dates"""
+    ),
     "dim_tiers": _with("select * from dim_tiers"),
     "dim_tiers_faithful": _with(
         """select md5(concat(tier, '-', monthly_cost)) as tier_id, tier as tier_name,
@@ -302,6 +306,7 @@ ORACLES: dict[str, str] = {
     ),
     "scd2_version_chain": _with("select * from dim_accounts", BATCHES),
     "scd2_second_batch": _with("select * from dim_accounts", BATCHES),
+    "scd2_changed_accounts": _with("select * from dim_accounts", BATCHES),
     "fact_object_counts": _with(OBJECT_DAY.format(source="object_counts_daily")),
     "usage_event_filter": _with(
         """select account_id, user_id, product as product_name, event_time, event_type
@@ -385,6 +390,11 @@ ORACLES: dict[str, str] = {
         USAGE_DAY.format(who="account_id", events="usage_events")
     ),
     "incremental_financials": _fact("shared_revenue"),
+    "detected_object_counts": _with(OBJECT_DAY.format(source="object_counts_daily")),
+    "detected_product_usage": _with(
+        USAGE_DAY.format(who="account_id", events="usage_events")
+    ),
+    "detected_financials": _fact("shared_revenue"),
     "dq_unique": _checks(UNIQUE),
     "dq_not_null": _checks(NOT_NULL),
     "dq_not_null_where": _checks(NOT_NULL_WHERE),

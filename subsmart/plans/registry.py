@@ -178,6 +178,19 @@ def calendar_extend(spark, folder):
     return store.read("dim_dates")
 
 
+@query
+def calendar_upsert(spark, folder):
+    """Weekends of the last year are delivered again as holidays, together with a new year."""
+    store, last = GenerationStore(spark, scratch_folder(spark)), _last_event_day(spark, folder)
+    start = _first_year(spark, folder)
+    store.upsert("dim_dates", build_calendar(spark, last, start, horizon_years=2), "date_id")
+    later = build_calendar(spark, last, start).filter(F.col("year") >= F.year(last) + 2)
+    days = later.withColumn("is_holiday", F.col("is_weekend"))
+    for _ in range(2):
+        store.upsert("dim_dates", days, "date_id")
+    return store.read("dim_dates")
+
+
 @query
 def dim_tiers(spark, folder):
     return build_tiers(_subscriptions(spark, folder))
@@ -233,6 +246,18 @@ def scd2_second_batch(spark, folder):
     return _stored_history(spark, folder).read()
 
 
+@query
+def scd2_changed_accounts(spark, folder):
+    """Batches that bring the changed accounts alone, over a base in buckets."""
+    store, account = HistoryLog(spark, scratch_folder(spark)), F.col("account_id")
+    first, second, third = _batches(spark, folder, 3)
+    store.apply(first, FIRST_LOAD)
+    store.compact()
+    store.apply(second.filter(account % 10 == 0), BATCH_DAYS[0])
+    store.apply(third.filter(account % 15 == 0), BATCH_DAYS[1])
+    return store.read()
+
+
 def _stored_history(spark, folder):
     store = HistoryLog(spark, scratch_folder(spark))
     _load_history(store, _batches(spark, folder, 3))
@@ -411,6 +436,40 @@ def incremental_financials(spark, folder):
     )
 
 
+def _run_after_late_changes(spark, folder, source, late, fact):
+    """``fact`` after a run that lacks the rows ``late`` of ``source``, and one that finds them."""
+    warehouse = Warehouse(spark, scratch_folder(spark))
+    warehouse.store.replace("dim_dates", _calendar(spark, folder))
+    sources, marts = samples.sample_sources(spark, folder), ["dim_tiers", "dim_products", fact]
+    early = getattr(sources, source).filter(~F.coalesce(late, F.lit(False)))
+    for delivered in (dataclasses.replace(sources, **{source: early}), sources, sources):
+        warehouse.run_all(delivered, as_of=BATCH_DAYS[0], only=marts)
+    return warehouse.read(fact)
+
+
+@query
+def detected_object_counts(spark, folder):
+    """One account's counts come late for every third day."""
+    late = (F.col("account_id") % 5 == 1) & (F.dayofyear("date") % 3 == 0)
+    return _run_after_late_changes(spark, folder, "object_counts_daily", late, "fact_object_counts")
+
+
+@query
+def detected_product_usage(spark, folder):
+    """The first days' activations and the last days come late."""
+    day = F.to_date("event_time")
+    late = (F.dayofmonth(day) <= 3) & (F.col("event_type") == "Activation") | (F.dayofmonth(day) >= 28)
+    return _run_after_late_changes(spark, folder, "usage_events", late, "fact_product_usage")
+
+
+@query
+def detected_financials(spark, folder):
+    """Subscriptions of some accounts in old months and all recent ones come late."""
+    old = (F.year("start_date") <= 1996) & (F.col("account_id") % 7 == 0)
+    late = old | (F.col("start_date") >= F.lit(dt.date(2000, 1, 1)))
+    return _rounded(_run_after_late_changes(spark, folder, "subscriptions", late, "fact_financials"))
+
+
 # ---- quality --------------------------------------------------------------
 
 

@@ -104,3 +104,7 @@ REPLACE_KEYS = {
     "fact_product_usage": "usage_date_day",
     "fact_financials": "financial_month",
 }
+
+# Prints of what each fact was built from, by its replace key.
+PRINTS = {name: f"{name}_prints" for name in REPLACE_KEYS}
+STATE: dict[str, T.StructType] = {name: _schema(key=_DATE, print=_TEXT) for name in PRINTS.values()}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subsmart.operators.spread import sized
-from subsmart.schemas import MARTS, REPLACE_KEYS
+from subsmart.schemas import MARTS, REPLACE_KEYS, STATE
 from subsmart.sources.files import (
     children,
     create_text,
@@ -23,6 +23,7 @@ from subsmart.sources.files import (
 from subsmart.sources.store import MartStore
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+TABLES = MARTS | STATE
 
 
 class Marker:
@@ -115,7 +116,7 @@ class GenerationStore(MartStore):
         greatest stays; NULL is a key. Only new keys are a small added write; otherwise the
         table, without the rows to be replaced, is built anew aside.
         """
-        others = [c for c in MARTS[name].names if c != key]
+        others = [c for c in TABLES[name].names if c != key]
         unique = df.groupBy(key).agg(F.max(F.struct(*others)).alias("_row")).select(key, "_row.*")
         write = self._aside(name, unique)
         batch = self._rows(name, {"writes": [{"id": write}]})
@@ -160,7 +161,7 @@ class GenerationStore(MartStore):
     def _aside(self, name: str, df: DataFrame) -> str:
         """Write ``df`` to a folder that no mark lists yet."""
         write = uuid.uuid4().hex
-        df = df.select(*MARTS[name].names)
+        df = df.select(*TABLES[name].names)
         key = REPLACE_KEYS.get(name)
         path = self.path(name, f"write={write}")
         if key is None:
@@ -186,7 +187,7 @@ class GenerationStore(MartStore):
         return out
 
     def _rows(self, name: str, state: dict | None) -> DataFrame:
-        schema, writes = MARTS[name], _writes(state)
+        schema, writes = TABLES[name], _writes(state)
         if not writes:
             return self.spark.createDataFrame([], schema)
         stored = T.StructType([*schema.fields, T.StructField("write", T.StringType())])
