@@ -82,7 +82,13 @@ RELATIONS: dict[str, str] = {
 PERIOD = "account_id, product, tier, monthly_cost, start_date, cancel_date"
 
 
-def _financial_relations(until: str = "cancel_date", source: str = "keyed_subscriptions") -> dict:
+GAPPED = """not (year(full_date) = 1997 and month(full_date) in (6, 7, 8))
+              and day(full_date) <= 28 and year(full_date) >= 1996"""
+
+
+def _financial_relations(
+    until: str = "cancel_date", source: str = "keyed_subscriptions", days: str = "true"
+) -> dict:
     """Revenue day by day: every covered day of every distinct subscription is a row."""
     return {
         "covered": f"""
@@ -92,7 +98,7 @@ def _financial_relations(until: str = "cancel_date", source: str = "keyed_subscr
                              as full_date
                   from {source}, limits where start_date <= {until})
             where full_date >= (select first_day from limits)
-              and full_date <= (select last_day from limits)""",
+              and full_date <= (select last_day from limits) and {days}""",
         "account_load": """
             select account_id, financial_month, count(*) as days_active
             from covered group by account_id, financial_month""",
@@ -342,6 +348,18 @@ ORACLES: dict[str, str] = {
            from own_load group by account_id, financial_month""",
         _FINANCIALS,
     ),
+    "financials_churn_by_offer": _with(
+        """select account_id, product_id, tier_id, financial_month,
+                  count(distinct account_id) as active_subscriptions,
+                  count(distinct case when ends_here then account_id end) as churned_subscriptions
+           from own_load group by account_id, product_id, tier_id, financial_month""",
+        _FINANCIALS,
+    ),
+    "fact_financials_gapped_calendar": _fact("shared_revenue", days=GAPPED),
+    "days_active_gapped_calendar": _with(
+        f"select {PERIOD}, financial_month, days_active from revenue",
+        _financial_relations(days=GAPPED),
+    ),
     "fact_financials": _fact("shared_revenue"),
     "fact_financials_open": _fact("shared_revenue", until="coalesce(cancel_date, last_order)"),
     "fact_financials_per_subscription": _fact("own_revenue"),

@@ -326,13 +326,13 @@ def subscription_months(spark, folder):
 
 @query
 def financials_days_active(spark, folder):
-    months = fin.with_days_active(fin.subscription_months(_periods(spark, folder)))
+    months = fin.months_with_days_active(_periods(spark, folder))
     return months.select(*fin.PERIOD, "financial_month", "days_active", "total_days")
 
 
 @query
 def financials_prorated(spark, folder):
-    months = fin.with_days_active(fin.subscription_months(_periods(spark, folder)))
+    months = fin.months_with_days_active(_periods(spark, folder))
     return fin.prorated(months).select(
         *fin.PERIOD, "financial_month", F.round("adjusted_revenue", 4).alias("adjusted_revenue")
     )
@@ -343,6 +343,38 @@ def financials_churn(spark, folder):
     return fin.monthly_churn(fin.subscription_months(_periods(spark, folder)))
 
 
+@query
+def financials_churn_by_offer(spark, folder):
+    """Active and churned subscriptions by account, product, tier and month, from the fact itself."""
+    return fin.financials_fact(*_financial_inputs(spark, folder)).drop("total_revenue")
+
+
+def _gapped_calendar(spark, folder):
+    """The calendar without 1997's summer, the last days of months and all days before 1996."""
+    day = F.col("full_date")
+    summer = (F.col("year") == 1997) & F.col("month").isin(6, 7, 8)
+    return _calendar(spark, folder).filter(
+        ~summer & (F.dayofmonth(day) <= 28) & (F.col("year") >= 1996)
+    )
+
+
+@query
+def fact_financials_gapped_calendar(spark, folder):
+    """Days that the calendar lacks bring no revenue and count as no day of activity."""
+    subscriptions, tiers, products, _ = _financial_inputs(spark, folder)
+    calendar = _gapped_calendar(spark, folder)
+    return _rounded(fin.financials_fact(subscriptions, tiers, products, calendar))
+
+
+@query
+def days_active_gapped_calendar(spark, folder):
+    """Days of activity by subscription and month where the calendar has gaps."""
+    calendar = _gapped_calendar(spark, folder)
+    periods = fin.distinct_periods(_subscriptions(spark, folder), calendar)
+    months = fin.months_with_days_active(periods, fin.calendar_months(calendar))
+    return months.select(*fin.PERIOD, "financial_month", "days_active")
+
+
 def _financial_inputs(spark, folder):
     """Staged subscriptions, tiers, products and calendar."""
     subscriptions, events = _subscriptions(spark, folder), _events(spark, folder)

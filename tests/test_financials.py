@@ -15,6 +15,7 @@ from subsmart.operators import financials as fin
 from subsmart.operators import spread
 from subsmart.operators.calendar import build_calendar
 from subsmart.operators.dimensions import build_products, build_tiers
+from subsmart.operators.staging import stage_subscriptions
 
 
 def fact(spark, rows, first="2000-01-01", as_of="2001-06-30", used=("A", "B"), **options):
@@ -251,3 +252,61 @@ def test_calendar_gaps_are_not_covered(spark):
 def test_prices_keep_their_scale(spark):
     found = narrow_fact(spark, "month = 1", Decimal("29.0055")).collect()
     assert [r.total_revenue for r in found] == [29.0055]
+
+
+# ---- days of activity by boundary events -----------------------------------
+
+
+def random_periods(spark, seed, calendar):
+    pick = random.Random(seed)
+    rows = []
+    for _ in range(60):
+        start = dt.date(2019, 1, 1) + dt.timedelta(days=pick.randrange(800))
+        end = start + dt.timedelta(days=pick.choice([0, 3, 40, 400, pick.randrange(-2, 90)]))
+        rows.append((pick.choice([1, 2, 3, None]), str(start), str(end), pick.choice("AB"), "Pro", "1.00"))
+    staged = stage_subscriptions(subscriptions(spark, [*rows, *rows[:5]]))
+    return fin.distinct_periods(staged, calendar)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("gaps", [False, True])
+def test_days_by_events_equal_days_by_months(spark, seed, gaps):
+    calendar = build_calendar(spark, "2021-06-01", "2019-01-15", horizon_years=0)
+    if gaps:
+        calendar = calendar.filter("month not in (3, 7) and day_of_month not in (1, 10, 31)")
+    present = fin.calendar_months(calendar) if gaps else None
+    periods = random_periods(spark, seed, calendar)
+    spread_out = fin.with_days_active(fin.subscription_months(periods, present))
+    by_events = fin.months_with_days_active(periods, present).select(*spread_out.columns)
+    a, b = (sorted(map(tuple, df.collect()), key=repr) for df in (spread_out, by_events))
+    assert a == b and len(a) > 100
+
+
+def test_account_days_have_every_month_between(spark):
+    calendar = build_calendar(spark, "2021-06-01", "2019-01-01", horizon_years=0)
+    rows = [(1, "2019-01-30", "2019-02-02", "A", "Pro", "1.00"), (1, "2019-04-30", "2019-08-01", "A", "Pro", "1.00")]
+    periods = fin.distinct_periods(stage_subscriptions(subscriptions(spark, rows)), calendar)
+    (row,) = fin.account_days(periods).collect()
+    assert (row.first_month, row.days) == (2019 * 12 + 1, [2, 2, 0, 1, 31, 30, 31, 1])
+
+
+def test_month_rows_are_not_shuffled(spark):
+    calendar = build_calendar(spark, "2021-06-01", "2019-01-01", horizon_years=0)
+    plan = fin.months_with_days_active(random_periods(spark, 1, calendar))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text[: text.index("Generate posexplode")]
+
+
+def test_hot_account_has_one_row_of_days(spark):
+    calendar = build_calendar(spark, "2021-06-01", "2019-01-01", horizon_years=0)
+    hot = spark.range(20_000).select(
+        F.lit(1).cast("long").alias("account_id"), F.lit("A").alias("product"), F.lit("Pro").alias("tier"),
+        F.lit(1).cast("decimal(10,2)").alias("monthly_cost"), F.date_add(F.lit(dt.date(2019, 1, 1)), (F.col("id") % 300).cast("int")).alias("start_date"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), F.expr("cast(id div 300 as int)")).alias("cancel_date"),
+    )
+    periods = fin.distinct_periods(hot, calendar)
+    assert fin.account_days(periods).count() == 1
+    total = fin.months_with_days_active(periods).groupBy("financial_month").agg(
+        F.max("days_active").alias("a"), F.sum("days_covered").alias("b")
+    )
+    assert total.filter("a <> b").isEmpty() and total.count() > 12

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from subsmart.operators.quality import Check, run_checks
 from subsmart.plans.checks import CHECKS
@@ -95,3 +98,68 @@ def test_declared_checks():
     expected = {"unique": 6, "not_null": 37, "not_null_where": 2, "relationships": 15}
     assert {k: kinds.count(k) for k in expected} == expected
     assert kinds.count("expression_is_true") == 6 and len(set(CHECKS)) == 66
+
+
+def plain_failures(tables, check):
+    rows = [r.asDict() for r in tables[check.table].collect()]
+    values = [r[check.column] for r in rows if r[check.column] is not None]
+    if check.kind == "unique":
+        return sum(values.count(v) > 1 for v in set(values))
+    if check.kind == "not_null":
+        return len(rows) - len(values)
+    table, field = check.argument.split(".")
+    parents = {r[field] for r in tables[table].collect()}
+    return sum(v not in parents for v in values)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_tables_equal_a_plain_count(spark, seed):
+    pick = random.Random(seed)
+    some = lambda n: None if pick.random() < 0.2 else pick.randrange(n)
+    tables = {
+        name: spark.createDataFrame(
+            [(some(30), some(9), some(9)) for _ in range(pick.randrange(5, 60))], "id int, a int, b int"
+        )
+        for name in ("x", "y", "z")
+    }
+    checks = [Check(t, c, kind) for t in tables for c in ("id", "a") for kind in ("unique", "not_null")]
+    checks += [
+        Check(t, c, "relationships", parent)
+        for t in tables
+        for c in ("a", "b")
+        for parent in ("x.a", "y.id", "z.b")
+    ]
+    report = failures(tables, *checks)
+    expected = {(c.table, c.column, c.label): plain_failures(tables, c) for c in checks}
+    assert {key: n for key, (_, n) in report.items()} == expected
+    assert all((status == "pass") == (n == 0) for status, n in report.values())
+
+
+def test_each_table_is_scanned_once_and_keys_move_once(spark, tables, tmp_path):
+    stored = {}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    checks = [
+        Check("child", "id", "unique"),
+        Check("child", "amount", "not_null"),
+        Check("parent", "id", "unique"),
+        Check("child", "parent_id", "relationships", "parent.id"),
+        Check("child", "id", "relationships", "parent.id"),
+        Check("parent", "id", "relationships", "child.parent_id"),
+    ]
+    report = run_checks(stored, checks)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert sorted(r.failures for r in report.collect()) == [1, 1, 1, 1, 1, 3]
+
+
+def test_hot_key_is_counted_before_it_moves(spark):
+    child = spark.range(0, 100_000, 1, 4).select(F.lit(7).alias("parent_id"))
+    parent = spark.range(0, 1000, 1, 4).select((F.col("id") * 2).cast("int").alias("id"))
+    report = run_checks({"c": child, "p": parent}, [Check("c", "parent_id", "relationships", "p.id")])
+    assert [tuple(r)[3:] for r in report.collect()] == [("fail", 100_000)]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning(set") :]
+    assert "partial_count" in below or "partial_count_if" in below
