@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,10 +84,14 @@ def object_prints(staged: DataFrame) -> DataFrame:
     return row_prints(staged.withColumn("_day", F.col("date").cast("date")), "_day", columns)
 
 
-def usage_prints(staged: DataFrame, products: DataFrame | Sized) -> DataFrame:
-    """By day, of the events that count and the product keys they get."""
+def usage_prints(
+    staged: DataFrame,
+    products: DataFrame | Sized,
+    columns: Sequence[str] = ("account_id", "event_type"),
+) -> DataFrame:
+    """By day, of the ``columns`` of events that count and the product keys they get."""
     rows = with_product(relevant_events(staged), products)
-    return row_prints(rows, "usage_date_day", ["account_id", "product_id", "event_type"])
+    return row_prints(rows, "usage_date_day", ["product_id", *columns])
 
 
 def financial_prints(

@@ -25,8 +25,7 @@ from subsmart.operators import spread
 from subsmart.operators.spread import (
     Sized,
     group_total,
-    settle,
-    shuffle_partitions,
+    partitions_for,
     sized,
     split_hot,
 )
@@ -90,18 +89,23 @@ def distinct_periods(
     return covered_periods(subscriptions, calendar, open_until).distinct()
 
 
-def subscription_days(periods: DataFrame) -> DataFrame:
-    """One row per distinct subscription and calendar day it covers."""
-    return periods.withColumn(
+def subscription_days(periods: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """One row per distinct subscription and day it covers; days that ``calendar`` lacks drop out."""
+    days = periods.withColumn(
         "full_date", F.explode(F.sequence("first_day", "last_day"))
     ).withColumn("financial_month", month_start(F.col("full_date")))
+    if calendar is None:
+        return days
+    present = sized(calendar.select(F.col("full_date").alias("_present"))).frame
+    return days.join(present, F.col("full_date") == F.col("_present"), "left_semi")
 
 
 def calendar_months(calendar: DataFrame) -> Sized:
     """One row per month of the calendar, with a bit for each of its days that is there."""
     bit = F.expr("shiftleft(1L, dayofmonth(full_date) - 1)")
     months = calendar.groupBy(month_start(F.col("full_date")).alias("_month"))
-    return sized(settle(months.agg(F.bit_or(bit).alias("_days"))))
+    # Dates have years of four digits, so there are at most 120,000 rows of two numbers.
+    return Sized(F.broadcast(months.agg(F.bit_or(bit).alias("_days"))), None)
 
 
 def subscription_months(
@@ -293,8 +297,8 @@ def financials_fact(
     periods = covered_periods(subscriptions, calendar, open_until)
     months = month_ordinal(F.col("last_day")) - month_ordinal(F.col("first_day")) + 1
     small, large = split_hot(periods, "account_id", months)
-    # A fixed number: the rows grow after this shuffle, so partitions must not be merged.
-    by_account = small.repartition(shuffle_partitions(small.sparkSession), "account_id")
+    # A fixed number, as partitions must not be merged: what they hold grows after this shuffle.
+    by_account = small.repartition(partitions_for(periods, months), "account_id")
     present = calendar_months(calendar)
     fact = _monthly_revenue(
         by_account.distinct(), tiers, products, present, days_grain, spread.GROUP_ROWS

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 GROUP_ROWS = 1_000_000
+TASK_ROWS = 4 * GROUP_ROWS
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -93,6 +94,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions_for(df: DataFrame, becomes: Column) -> int:
+    """Partitions of about ``TASK_ROWS`` rows each for what ``df`` will grow to.
+
+    ``becomes`` counts the rows that a row will grow to; they are added up where they lie.
+    Keys of more than ``GROUP_ROWS`` rows, a quarter of a task's, are expected to be split
+    off, so tasks come out even. The session's number is never lowered.
+    """
+    grown = df.agg(F.coalesce(F.sum(becomes), F.lit(0)).cast("long")).first()[0]
+    return max(shuffle_partitions(df.sparkSession), -(-grown // TASK_ROWS))
+
+
 def group_total(
     df: DataFrame,
     keys: list[str],

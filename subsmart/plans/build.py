@@ -17,7 +17,9 @@ from subsmart.operators.history import account_batch
 from subsmart.operators.objects import object_counts_fact
 from subsmart.operators.spread import settle
 from subsmart.operators.usage import product_usage_fact
+from subsmart.operators.user_sets import daily_user_sets
 from subsmart.schemas import PRINTS
+from subsmart.session import fit_shuffles_to
 from subsmart.sources.generations import GenerationStore
 from subsmart.sources.history_log import HistoryLog
 from subsmart.sources.samples import RawSources
@@ -56,6 +58,11 @@ class Warehouse:
     ) -> None:
         """Build every mart, or those in ``only``, with the calendar reaching past ``as_of``.
 
+        Marts of ``EXTRA`` are built only where ``only`` names them.
+
+        The number of shuffle partitions follows the size of the sources, and that of the
+        revenue fact the number of month rows that its subscriptions grow to.
+
         A fact that exists already gets the keys replaced whose source rows are not those it
         was built from, however old; ``full_refresh`` rewrites it. ``since`` trusts the
         caller instead and replaces the days from then on, or whole months for financials.
@@ -63,11 +70,12 @@ class Warehouse:
         from the current sources.
         """
         wanted = set(ORDER if only is None else only)
-        unknown = wanted - set(ORDER)
+        unknown = wanted - set(BUILDERS)
         if unknown:
             raise ValueError(f"no such mart: {', '.join(sorted(unknown))}")
+        fit_shuffles_to(self.spark, vars(sources).values())
         staged = stage_all(sources)
-        for name in (n for n in ORDER if n in wanted):
+        for name in (n for n in BUILDERS if n in wanted):
             BUILDERS[name](self, staged, as_of, start, full_refresh, since)
 
     def _dates(self, staged, as_of, start, full_refresh, since) -> None:
@@ -104,6 +112,15 @@ class Warehouse:
         prints = changes.usage_prints(rows, products)
         self._fact("fact_product_usage", prints, build, full_refresh, since)
 
+    def _user_sets(self, staged, as_of, start, full_refresh, since) -> None:
+        rows, products = staged["usage_events"], self._upstream("dim_products")
+
+        def build(keys):
+            return daily_user_sets(self._input(rows, "event_time", keys, since), products)
+
+        prints = changes.usage_prints(rows, products, ["user_id"])
+        self._fact("usage_user_sets", prints, build, full_refresh, since)
+
     def _financials(self, staged, as_of, start, full_refresh, since) -> None:
         calendar = self._upstream("dim_dates")
         inputs = staged["subscriptions"], self._upstream("dim_tiers"), self._upstream("dim_products")
@@ -155,8 +172,10 @@ BUILDERS = {
     "fact_object_counts": Warehouse._objects,
     "fact_product_usage": Warehouse._usage,
     "fact_financials": Warehouse._financials,
+    "usage_user_sets": Warehouse._user_sets,
 }
-ORDER = list(BUILDERS)
+EXTRA = ["usage_user_sets"]
+ORDER = [name for name in BUILDERS if name not in EXTRA]
 
 
 STAGING_VIEWS = {

@@ -258,6 +258,36 @@ def _replaced(old: str, new: str, key: str, extra: dict[str, str]) -> str:
 _FINANCIALS = _financial_relations()
 _HISTORY = "account_id, name, signup_date_id, country, vertical, nps"
 
+# Users of known products, by day.
+_SEEN = {
+    "seen": """
+        select cast(event_time as date) as day, product_id, user_id
+        from usage_events join dim_products on product_name = product
+        where event_type in ('Usage', 'Activation') and user_id is not null"""
+}
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: a fold over its bytes, eight shifts a byte."""
+    step = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    byte = f"list_reduce([xor(a, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda c, i: {step})"
+    octets = f"list_transform(range(1, length({text}) + 1), lambda i: ascii({text}[i])::bigint)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, {octets}), lambda a, b: {byte}))"
+
+
+_NUMBER = _crc32("concat_ws('/', account_id, start_date, product)")
+_FAULTS = {
+    "texts": f"""
+        select *, {_NUMBER} as number from subscriptions""",
+    "faults": """
+        select *, list_filter([
+            case when number % 31 = 0 then 'account_id: missing' end,
+            case when number % 29 = 0 then 'start_date: not a date' end,
+            case when number % 17 = 0 then 'monthly_cost: not a decimal(10,2)' end,
+            case when number % 23 = 0 then 'touchless_conversion: not a boolean' end
+        ], lambda x: x is not null) as reasons from texts""",
+}
+
 ORACLES: dict[str, str] = {
     "stg_accounts": _with(
         "select id as account_id, name, signup_date, country, vertical, nps from accounts"
@@ -325,6 +355,45 @@ ORACLES: dict[str, str] = {
     ),
     "fact_product_usage": _with(USAGE_DAY.format(who="account_id", events="usage_events")),
     "fact_product_usage_users": _with(USAGE_DAY.format(who="user_id", events="usage_events")),
+    "usage_user_sets": _with(
+        """select day as usage_date_day, product_id,
+                  cast(case when user_id > 0 then (user_id - 1) // 32768 + 1
+                       else user_id // 32768 end as bigint) as user_bucket,
+                  count(distinct user_id) as n_users
+           from seen group by all""",
+        _SEEN,
+    ),
+    "monthly_active_users": _with(
+        """select cast(date_trunc('month', day) as date) as usage_month, product_id,
+                  count(distinct user_id) as active_users
+           from seen group by 1, 2""",
+        _SEEN,
+    ),
+    "product_active_users": _with(
+        "select product_id, count(distinct user_id) as active_users from seen group by 1", _SEEN
+    ),
+    "weekly_trailing_users": _with(
+        """select d.day as usage_date_day, d.product_id, count(distinct s.user_id) as active_users
+           from (select distinct day, product_id from seen) d
+           join seen s on s.product_id = d.product_id and s.day between d.day - 6 and d.day
+           group by 1, 2""",
+        _SEEN,
+    ),
+    "accepted_subscriptions": _with(
+        "select * exclude (number, reasons) from faults where len(reasons) = 0", _FAULTS
+    ),
+    "rejected_subscriptions": _with(
+        """select case when number % 31 <> 0 then cast(account_id as varchar) end as account_id,
+                  product, array_to_string(reasons, '; ') as reasons, count(*) as n
+           from faults where len(reasons) > 0 group by all""",
+        _FAULTS,
+    ),
+    "dq_rejects": _with(
+        """select 'subscriptions' as "table", split_part(reason, ':', 1) as "column",
+                  'schema: ' || reason as "check", 'fail' as status, count(*) as failures
+           from (select unnest(reasons) as reason from faults) group by reason""",
+        _FAULTS,
+    ),
     "subscription_events": _with(
         f"select {PERIOD}, tier_id, product_id from keyed_subscriptions"
     ),
@@ -356,6 +425,9 @@ ORACLES: dict[str, str] = {
         _FINANCIALS,
     ),
     "fact_financials_gapped_calendar": _fact("shared_revenue", days=GAPPED),
+    "subscription_days_gapped_calendar": _with(
+        f"select {PERIOD}, full_date from covered", _financial_relations(days=GAPPED)
+    ),
     "days_active_gapped_calendar": _with(
         f"select {PERIOD}, financial_month, days_active from revenue",
         _financial_relations(days=GAPPED),

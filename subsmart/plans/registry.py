@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from subsmart.functions import keys
 from subsmart.operators import financials as fin
 from subsmart.operators import history as hist
-from subsmart.operators import quality, staging, usage
+from subsmart.operators import quality, staging, usage, user_sets
 from subsmart.operators.calendar import build_calendar, calendar_days, extend_calendar
 from subsmart.operators.dimensions import build_products, build_tiers
 from subsmart.operators.objects import object_counts_fact
@@ -23,7 +23,7 @@ from subsmart.operators.spread import settle, shared_folder, sized
 from subsmart.plans.build import Warehouse, stage_all
 from subsmart.plans.checks import CHECKS
 from subsmart.session import fit_shuffles
-from subsmart.sources import samples
+from subsmart.sources import rejects, samples
 from subsmart.sources.generations import GenerationStore
 from subsmart.sources.history_log import HistoryLog
 
@@ -300,6 +300,77 @@ def fact_product_usage_users(spark, folder):
     return usage.product_usage_fact(events, _products(events), user_col="user_id")
 
 
+def _user_sets(spark, folder):
+    events = _events(spark, folder)
+    return user_sets.daily_user_sets(events, _products(events))
+
+
+@query
+def usage_user_sets(spark, folder):
+    """How many users the set of each day, product and bucket of user numbers holds."""
+    count = F.bitmap_count("users").alias("n_users")
+    return _user_sets(spark, folder).select(*user_sets.BY_DAY, count)
+
+
+@query
+def monthly_active_users(spark, folder):
+    """Distinct users by month and product, from stored sets of days of which some came late."""
+    warehouse = Warehouse(spark, scratch_folder(spark))
+    sources, marts = samples.sample_sources(spark, folder), ["dim_products", "usage_user_sets"]
+    early = sources.usage_events.filter(F.dayofmonth("event_time") % 9 != 0)
+    for delivered in (dataclasses.replace(sources, usage_events=early), sources):
+        warehouse.run_all(delivered, as_of=BATCH_DAYS[0], only=marts)
+    return user_sets.monthly_users(warehouse.read("usage_user_sets"))
+
+
+@query
+def product_active_users(spark, folder):
+    """Distinct users by product over all days."""
+    return user_sets.distinct_users(_user_sets(spark, folder), "product_id")
+
+
+@query
+def weekly_trailing_users(spark, folder):
+    """Distinct users by product over the seven days up to each day."""
+    return user_sets.trailing_users(_user_sets(spark, folder), 7)
+
+
+def _text_subscriptions(spark, folder):
+    """Subscriptions as CSV files with faults, routed: accepted rows and rejects."""
+    scratch = scratch_folder(spark)
+    rows = samples.sample_subscriptions(spark, folder)
+    number = F.crc32(F.concat_ws("/", "account_id", "start_date", "product"))
+    text = {name: F.col(name).cast("string") for name in rows.columns}
+    text["monthly_cost"] = F.when(number % 17 == 0, "n/a").otherwise(text["monthly_cost"])
+    text["start_date"] = F.when(number % 29 == 0, "1997-02-30").otherwise(text["start_date"])
+    text["account_id"] = F.when(number % 31 != 0, text["account_id"])
+    text["touchless_conversion"] = F.when(number % 23 == 0, "maybe").otherwise(text["touchless_conversion"])
+    rows.select(*(value.alias(name) for name, value in text.items())).write.csv(f"{scratch}/raw")
+    texts = rejects.read_text(spark, "subscriptions", f"{scratch}/raw")
+    return rejects.route(spark, "subscriptions", texts, f"{scratch}/routed")
+
+
+@query
+def accepted_subscriptions(spark, folder):
+    return _text_subscriptions(spark, folder)[0]
+
+
+@query
+def rejected_subscriptions(spark, folder):
+    """Rejected rows by account and product as they came, with their reasons."""
+    found = _text_subscriptions(spark, folder)[1]
+    raw = lambda name: F.get_json_object("raw", f"$.{name}").alias(name)
+    return found.groupBy(raw("account_id"), raw("product"), F.array_join("reasons", "; ").alias("reasons")).agg(
+        F.count("*").alias("n")
+    )
+
+
+@query
+def dq_rejects(spark, folder):
+    """Rejected rows by reason, in the form of the quality report."""
+    return rejects.reject_report(_text_subscriptions(spark, folder)[1], "subscriptions")
+
+
 @query
 def subscription_events(spark, folder):
     subscriptions, products = _subscriptions(spark, folder), _products(_events(spark, folder))
@@ -366,6 +437,14 @@ def fact_financials_gapped_calendar(spark, folder):
     return _rounded(fin.financials_fact(subscriptions, tiers, products, calendar))
 
 
+@query
+def subscription_days_gapped_calendar(spark, folder):
+    """Covered days of subscriptions where the calendar has gaps."""
+    calendar = _gapped_calendar(spark, folder)
+    periods = fin.distinct_periods(_subscriptions(spark, folder), calendar)
+    return fin.subscription_days(periods, calendar).select(*fin.PERIOD, "full_date")
+
+
 @query
 def days_active_gapped_calendar(spark, folder):
     """Days of activity by subscription and month where the calendar has gaps."""

@@ -105,6 +105,13 @@ REPLACE_KEYS = {
     "fact_financials": "financial_month",
 }
 
+# Sets of users by day, product and bucket of user numbers; built on demand.
+REPLACE_KEYS["usage_user_sets"] = "usage_date_day"
+USER_SETS = _schema(usage_date_day=_DATE, product_id=_TEXT, user_bucket=_LONG, users=T.BinaryType())
+
 # Prints of what each fact was built from, by its replace key.
 PRINTS = {name: f"{name}_prints" for name in REPLACE_KEYS}
-STATE: dict[str, T.StructType] = {name: _schema(key=_DATE, print=_TEXT) for name in PRINTS.values()}
+STATE: dict[str, T.StructType] = {
+    "usage_user_sets": USER_SETS,
+    **{name: _schema(key=_DATE, print=_TEXT) for name in PRINTS.values()},
+}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from subsmart.sources.files import folder_bytes
 
@@ -22,6 +24,7 @@ SETTINGS = {
 
 # Input per shuffle partition.
 SHUFFLE_BYTES = 256 << 20
+UNKNOWN_BYTES = 1 << 62
 
 
 def fit_shuffles(spark: SparkSession, *locations: str) -> int:
@@ -30,10 +33,26 @@ def fit_shuffles(spark: SparkSession, *locations: str) -> int:
     Adaptive execution merges partitions that turn out small but cannot add any, so
     the number must follow the input; it is never lowered.
     """
+    return _raise_shuffles(spark, sum(folder_bytes(spark, location) for location in locations))
+
+
+def fit_shuffles_to(spark: SparkSession, frames: Iterable[DataFrame]) -> int:
+    """The same for frames, by what the planner knows of their size without running anything."""
+    return _raise_shuffles(spark, sum(planned_bytes(frame) for frame in frames))
+
+
+def planned_bytes(frame: DataFrame) -> int:
+    """Bytes of the files that a frame scans, or the planner's estimate of other leaves."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    # The planner takes a leaf that it knows nothing of for the largest there is.
+    return sum(size for size in map(int, sizes) if size < UNKNOWN_BYTES)
+
+
+def _raise_shuffles(spark: SparkSession, size: int) -> int:
     key = "spark.sql.shuffle.partitions"
     configured = int(spark.conf.get(key))
-    wanted = sum(folder_bytes(spark, location) for location in locations) // SHUFFLE_BYTES
-    chosen = max(configured, wanted)
+    chosen = max(configured, size // SHUFFLE_BYTES)
     if chosen != configured:
         spark.conf.set(key, str(chosen))
     return chosen

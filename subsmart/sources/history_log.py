@@ -17,7 +17,7 @@ from subsmart.sources.generations import Marker, clean_folder
 
 # A version is known by its account and first day.
 VERSION = ["account_id", "start_date_id"]
-BUCKETS = 64
+BUCKETS = 16
 BUCKET_BYTES = 64 << 20
 # The log since the last base is merged into a new base beyond this share of the base, or
 # this number of batches that brought changes.

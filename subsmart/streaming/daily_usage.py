@@ -19,7 +19,9 @@ def stream_daily_usage(
     """Counts by account, product and day from staged streaming events.
 
     A day is emitted once, when events are ``lateness`` past its end; the state holds
-    only open days. Needs the session time zone UTC, in which days are cut.
+    only open days. Events that come later than that are not in the stream's result. A
+    batch run over the stored events finds such days by their prints, which the stream does
+    not write, and rebuilds them. Needs the session time zone UTC, in which days are cut.
     """
     timed = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
     day = F.window("event_time", "1 day").alias("day")
