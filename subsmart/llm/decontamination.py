@@ -96,8 +96,11 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     ]
     windows = (
         with_fingerprints(items, short)
-        .select("item", "words", F.explode("prints").alias("p"))
+        # Outer, as the planner would test for an empty array below the projections, and so
+        # split and hash an item's words again for each of them.
+        .select("item", "words", F.explode_outer("prints").alias("p"))
         # An item of fewer words is one window, an item of more has whole ones only.
+        .filter("p is not null")
         .filter((F.col("p.n") == WINDOW) | (F.col("p.n") == F.size("words")))
         .select("item", _window_text(F.col("p.at"), F.col("p.n")).alias("window"), "p.print")
         .distinct()
@@ -130,8 +133,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select(
             "key",
             "words",
-            F.explode(F.filter("prints", lambda p: F.array_contains("seeds", p["print"]))).alias("p"),
+            F.explode_outer(F.filter("prints", lambda p: F.array_contains("seeds", p["print"]))).alias("p"),
         )
+        .filter("p is not null")
         .select("key", "p.at", "p.n", _window_text(F.col("p.at"), F.col("p.n")).alias("window"))
     )
     by_window = sized(windows.select("window", "item")).frame

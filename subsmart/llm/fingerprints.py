@@ -16,7 +16,7 @@ from subsmart.llm.tables import bound_batches, read, stored
 
 SHINGLE = 5
 # One in so many shingle hashes is retained.
-SCALE = 16
+SCALE = 5
 
 
 def sketches(column: pa.Array, scale: int = SCALE, k: int = SHINGLE) -> list[np.ndarray]:
@@ -57,6 +57,20 @@ def containment(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a)
 
 
+def compact(sketch: np.ndarray) -> np.ndarray:
+    """The low 24 bits of the retained hashes, sorted: three bytes each instead of eight.
+
+    A hash that a document of n retained ones lacks is taken for one of them with a chance of
+    n / 2**24, which is far below the error of a sketch of n hashes.
+    """
+    return np.unique((sketch & np.uint64(0xFFFFFF)).astype(np.uint32))
+
+
+def as_bytes(sketch: np.ndarray) -> bytes:
+    """Three bytes for each number, in order; none for an empty sketch."""
+    return sketch.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()
+
+
 def _lists(found: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
     values = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
@@ -81,12 +95,13 @@ def fingerprint_texts(docs: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 EDITED = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint array<long>, "
-    "edited_fingerprint array<long>, near_edited double, near_next double, contained_next double"
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double, contained_next double"
 )
 # What the first and the last document of a range leave for the ranges beside it.
 EDGE = f"part int, {EDITED}, head string, tail string, tail_id long"
 FIELDS = [x.split()[0] for x in EDGE.split(", ")]
+KINDS = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), *[pa.float64()] * 3]
 
 
 def edited_text(text: str, following: str) -> str:
@@ -98,13 +113,15 @@ def edited_text(text: str, following: str) -> str:
 def _compared(ids, texts, following, scale: int) -> list[list]:
     """Columns of ``EDITED`` for documents and the texts that follow them."""
     edited = [edited_text(a, b) for a, b in zip(texts, following)]
-    own, new, after = (sketches(pa.array(x, pa.string()), scale) for x in (texts, edited, following))
+    own, new, after = (
+        [compact(sketch) for sketch in sketches(pa.array(x, pa.string()), scale)] for x in (texts, edited, following)
+    )
     return [
         list(ids),
         [len(x) for x in texts],
         [hashlib.sha256(x.encode()).hexdigest() for x in edited],
-        own,
-        new,
+        [as_bytes(sketch) for sketch in own],
+        [as_bytes(sketch) for sketch in new],
         [resemblance(a, b) for a, b in zip(own, new)],
         [resemblance(a, b) for a, b in zip(own, after)],
         [containment(b, a) for a, b in zip(own, after)],
@@ -115,14 +132,9 @@ def _in_order(scale: int):
     """Compares each document of a sorted range with the next one of the range."""
 
     def batch_of(part, columns, heads, tails, tail_ids):
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), None, None]
-        kinds += [pa.float64()] * 3 + [pa.string(), pa.string(), pa.int64()]
+        kinds = [pa.int32(), *KINDS, pa.string(), pa.string(), pa.int64()]
         columns = [[part] * len(heads), *columns, heads, tails, tail_ids]
-        arrays = [
-            _lists([[] if y is None else y for y in x]) if kind is None else pa.array(x, kind)
-            for kind, x in zip(kinds, columns)
-        ]
-        return pa.RecordBatch.from_arrays(arrays, FIELDS)
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for kind, x in zip(kinds, columns)], FIELDS)
 
     def run(batches):
         part, last = TaskContext.get().partitionId(), None
@@ -156,10 +168,7 @@ def _edges(scale: int):
         for batch in batches:
             ids, texts, after = (x.to_pylist() for x in batch.columns)
             columns = _compared(ids, texts, after, scale)
-            for i in (3, 4):
-                columns[i] = _lists(columns[i])
-            arrays = [x if isinstance(x, pa.Array) else pa.array(x) for x in columns]
-            yield pa.RecordBatch.from_arrays(arrays, FIELDS[1:9])
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for kind, x in zip(KINDS, columns)], FIELDS[1:9])
 
     return run
 
@@ -169,9 +178,10 @@ def compare_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
 
     The edited text has the last half of the code points replaced by as many from the
     beginning of the next document, in descending order of ``doc_id``; the last document
-    meets the first. ``near_edited`` and ``near_next`` are the resemblance of the
-    fingerprint to that of the edited text and of the next document, ``contained_next``
-    the share of the next document that this one contains.
+    meets the first. A fingerprint is its ``compact`` sketch, six hex digits a number.
+    ``near_edited`` and ``near_next`` are the resemblance of the fingerprint to that of the
+    edited text and of the next document, ``contained_next`` the share of the next document
+    that this one contains.
 
     Documents are sorted into ranges, so each meets the next where it lies and texts move
     once; only the first and last text of each range meet in a second step.
@@ -188,24 +198,28 @@ def compare_edited(docs: DataFrame, scale: int = SCALE) -> DataFrame:
         .sortWithinPartitions(*order, F.col("text").asc_nulls_first())
     )
     found = stored(ranged.mapInArrow(_in_order(scale), EDGE))
-    names = FIELDS[1:9]
-    heads = found.filter(F.col("head").isNotNull()).select("part", "head")
+    heads = found.filter(F.col("head").isNotNull()).select(F.col("part").alias("_part"), F.col("head").alias("next"))
     tails = found.filter(F.col("tail").isNotNull()).select("part", "tail_id", "tail")
-    # One row for each range that has documents.
-    after = Window.orderBy("part")
-    everywhere = Window.orderBy("part").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    # One number for each range that has documents; their texts are joined to it.
+    after = Window.orderBy("_part")
+    everywhere = after.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = heads.select(
+        "_part",
+        F.coalesce(F.lead("_part").over(after), F.first("_part").over(everywhere)).alias("_next"),
     )
-    edges = heads.join(tails, "part").select(
-        "tail_id",
-        "tail",
-        F.coalesce(F.lead("head").over(after), F.first("head").over(everywhere)).alias("next"),
+    edges = (
+        tails.join(following, F.col("part") == F.col("_part"))
+        .drop("_part")
+        .join(heads, F.col("_next") == F.col("_part"))
+        .select("tail_id", "tail", "next")
     )
-    return (
+    compared = (
         found.filter(F.col("edited_sha256").isNotNull())
-        .select(*names)
+        .select(*FIELDS[1:9])
         .unionByName(edges.mapInArrow(_edges(scale), EDITED))
     )
+    text = lambda name: F.lower(F.hex(name))
+    return compared.withColumns({c: text(c) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def op9_fingerprints(spark, sf_dir) -> DataFrame:

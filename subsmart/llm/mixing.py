@@ -114,10 +114,13 @@ def mix_sources(
         F.ceil(F.col("rows") / cell_rows).alias("_buckets"),
     )
     tie = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # Rows of one id are told apart by text, so that no order of rows decides, and hot ids split.
+    text_tie = F.xxhash64(F.coalesce("text", F.lit("")))
     celled = (
         sized.withColumn("_tie", tie)
+        .withColumn("_text_tie", text_tie)
         .join(F.broadcast(large), F.struct("source", "_band") == F.col("_large"), "left")
-        .withColumn("_bucket", F.coalesce(F.pmod(F.xxhash64("_tie"), F.col("_buckets")), F.lit(0)))
+        .withColumn("_bucket", F.coalesce(F.pmod(F.xxhash64("_tie", "_text_tie"), F.col("_buckets")), F.lit(0)))
         .withColumn("_cell", F.struct("source", "_band", "_bucket"))
         .drop("_large", "_buckets")
     )
@@ -144,7 +147,7 @@ def mix_sources(
             (step.cast("double") / OFFSET_STEPS).alias("_offset"),
         )
     )
-    within = Window.partitionBy("_cell").orderBy("size", "_tie", F.col("doc_id").asc_nulls_last())
+    within = Window.partitionBy("_cell").orderBy("size", "_tie", F.col("doc_id").asc_nulls_last(), "_text_tie")
     rank = F.col("_before") + F.row_number().over(within)
     crossed = lambda n: F.floor(n * F.col("_each") + F.col("_offset"))
     placed = celled.join(plan, F.col("_cell") == F.col("_place")).withColumn("_rank", rank)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from subsmart.llm import fingerprints, html_text, language, line_dedup, private_data, registry, simhash, toxicity
+from subsmart.llm import decontamination, fingerprints, html_text, language, line_dedup, private_data, registry, simhash, toxicity
 from subsmart.llm.components import components
 
 
@@ -134,6 +135,20 @@ def test_near_pairs_at_every_distance(spark):
     assert len(found) == len(expected) and {(r.a, r.b) for r in found} == expected
 
 
+def test_long_benchmark_items_end(spark):
+    """Time grows with the item, and a long item's passage is found."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in rng.integers(0, 10**6, 3000)]
+    items = [(1, " ".join(words[:2000])), (2, " ".join(words[2000:2005])), (3, " ".join(words[2100:2500]))]
+    docs = [(1, " ".join([*words[500:540], *["x"] * 100])), (2, " ".join(words[2400:2600])), (3, "none of it")]
+    begin = time.time()
+    found = decontamination.find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert time.time() - begin < 60
+    assert sorted((r.doc_id, r.n_hit, r["items"]) for r in found) == [(1, 40, ["1"]), (2, 100, ["3"]), (3, 0, [])]
+
+
 def test_fingerprints(spark, documents, folder):
     texts = sorted(texts_of(documents), reverse=True)
     found = {r.doc_id: r for r in registry.QUERIES["op9_fingerprints"](spark, folder).collect()}
@@ -148,6 +163,42 @@ def test_fingerprints(spark, documents, folder):
             assert abs(found[doc].near_edited - len(a & b) / len(a | b)) < 0.12
 
 
+def test_fingerprints_are_texts_and_near_the_truth(spark, folder):
+    """Errors by length, over all documents: the sketch has few numbers for short texts."""
+    df = registry.QUERIES["op9_fingerprints"](spark, folder)
+    kinds = dict(df.dtypes)
+    assert kinds["fingerprint"] == kinds["edited_fingerprint"] == kinds["edited_sha256"] == "string"
+    found = {r.doc_id: r for r in df.collect()}
+    texts = sorted(texts_of(spark.read.parquet(f"{folder}/documents.parquet")), reverse=True)
+    shingles = lambda t: (lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})(t.lower().split())
+    errors = {}
+    for i, (doc, text) in enumerate(texts):
+        after = texts[(i + 1) % len(texts)][1]
+        a, b = shingles(text), shingles(fingerprints.edited_text(text, after))
+        length = 0 if len(a) < 100 else 1 if len(a) < 1000 else 2
+        errors.setdefault(length, []).append(abs(found[doc].near_edited - len(a & b) / len(a | b)))
+    means = {length: sum(x) / len(x) for length, x in errors.items()}
+    assert means[0] < 0.2 and means[1] < 0.08 and means.get(2, 0) < 0.04
+    same = {}
+    for doc, text in texts:
+        assert same.setdefault(text, found[doc].fingerprint) == found[doc].fingerprint
+
+
+def test_edges_meet_over_ranges(spark, documents):
+    few = documents.limit(40).cache()
+    texts = sorted(texts_of(few), reverse=True)
+    for parts in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            found = {r.doc_id: r.edited_sha256 for r in fingerprints.compare_edited(few).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+        assert found == {
+            doc: hashlib.sha256(fingerprints.edited_text(text, texts[(i + 1) % len(texts)][1]).encode()).hexdigest()
+            for i, (doc, text) in enumerate(texts)
+        }
+
+
 def test_language_accuracy(spark, folder):
     found = registry.QUERIES["op5_language"](spark, folder)
     known = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
