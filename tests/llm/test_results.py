@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -57,45 +58,93 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == row[-1]
 
 
+def plain_words(line):
+    """Words of a line: digits alike in long ones, characters of unspaced scripts apart."""
+    alone = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fff\u3040-\u9fff\uf900-\ufaff\U00020000-\U00033fff"
+    sign = "\u2000-\u207f\u3000-\u303f\uff00-\uff7f"
+    split = lambda x: re.findall(f"[{alone}]|[a-z0-9\x80-\U0010ffff]+", re.sub(f"[{sign}]|([{alone}])", r" \1 ", x))
+    words = split(re.sub("[0-9]", "0", line))
+    if len(words) < line_dedup.LEAST_WORDS:
+        words = split(line)
+        if not any(c not in "0123456789" for w in words for c in w):
+            return None
+    return tuple(words)
+
+
 def line_groups(texts):
-    """Occurrences of lines, and the groups by comparing all pairs."""
-    word, occurrences = re.compile("[a-z0-9\x80-\U0010ffff]+"), []
+    """Occurrences of lines, the groups by edit similarity alone over all pairs, and the pairs."""
+    occurrences = []
     for doc, text in texts:
         for number, line in enumerate(text.lower().split("\n")):
-            found = tuple(word.findall(re.sub("[0-9]", "0", line)))
-            if len(found) >= line_dedup.LEAST_WORDS:
+            found = plain_words(line)
+            if found:
                 occurrences.append((doc, number, found))
-    hashes, firsts, _, _ = line_dedup.line_words(pa.array([t for _, t in texts]))
-    prints = []
-    for a, b in zip(firsts[:-1], firsts[1:]):
-        bits = (hashes[a:b, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-        prints.append(sum(1 << i for i in np.flatnonzero(2 * bits.sum(axis=0) > b - a).tolist()))
-    prints, groups, first = np.array(prints, np.uint64), Groups(), {}
+    groups, first, pairs = Groups(), {}, []
     for i, (_, _, found) in enumerate(occurrences):
         groups.join(first.setdefault(found, i), i)
-    lines = list(first.values())
-    for x, i in enumerate(lines):
-        for y in np.flatnonzero(np.bitwise_count(prints[lines[x + 1 :]] ^ prints[i]) <= line_dedup.DISTANCE):
-            j = lines[x + 1 + y]
-            a, b = occurrences[i][2], occurrences[j][2]
-            if line_dedup.edit_distance(list(a), list(b)) <= 0.2 * max(len(a), len(b)) + 1e-9:
+    lines = sorted(((len(w), i, w, Counter(w)) for w, i in first.items() if len(w) >= line_dedup.LEAST_WORDS))
+    for x, (n, i, a, has) in enumerate(lines):
+        for m, j, b, other in lines[x + 1 :]:
+            if n < 0.8 * m:
+                break
+            # No pair with fewer common words can be alike.
+            if sum((has & other).values()) >= 0.8 * m - 1e-9 and line_dedup.edit_distance(list(a), list(b)) <= 0.2 * m + 1e-9:
                 groups.join(i, j)
-    return occurrences, groups
+                pairs.append((i, j))
+    return occurrences, groups, pairs
 
 
-def test_line_dedup(spark, documents, folder):
-    texts = texts_of(documents)
-    occurrences, groups = line_groups(texts)
+def kept_lines(texts, occurrences, groups):
     gone = {}
     for i, (doc, number, _) in enumerate(occurrences):
         if groups.find(i) != i:
             gone.setdefault(doc, set()).add(number)
-    expected = {
+    kept = {
         doc: "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone.get(doc, ())) for doc, text in texts
     }
+    return kept, sum(map(len, gone.values()))
+
+
+def test_line_dedup(spark, documents, folder):
+    """Against edit similarity over all pairs of lines, without any SimHash or least hash."""
+    texts = texts_of(documents)
+    occurrences, groups, pairs = line_groups(texts)
+    expected, removed = kept_lines(texts, occurrences, groups)
     found = registry.QUERIES["op2_line_dedup"](spark, folder).collect()
+    assert len(pairs) > 40
     assert {r.doc_id: r.text for r in found} == expected
-    assert sum(r.n_removed for r in found) == sum(map(len, gone.values())) > 0
+    assert sum(r.n_removed for r in found) == removed > 0
+
+
+def some_words(n, rng):
+    return ["".join(map(chr, x)) for x in rng.integers(97, 123, (n, 7))]
+
+
+def changed(words, share, rng):
+    words = list(words)
+    for i in rng.choice(len(words), int(share * len(words)), replace=False):
+        words[i] = some_words(1, rng)[0]
+    return words
+
+
+def test_links_of_just_the_similarity_are_found(spark):
+    """Lines of 0.8 similarity, many bits apart: nine in ten at least."""
+    rng, texts = np.random.default_rng(6), []
+    for i in range(300):
+        words = some_words(int(rng.integers(5, 120)), rng)
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(changed(words, 0.2, rng)))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    gone = [r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed]
+    assert all(i % 2 for i in gone) and len(gone) >= 270
+
+
+def test_lines_of_scripts_without_spaces(spark):
+    line = "今日は天気がとても良いので公園へ散歩に行きました。"
+    thai = "วันนี้อากาศดีมากเราจึงไปเดินเล่นที่สวนสาธารณะ"
+    rows = [(1, f"{line}\n{thai}"), (2, line.replace("公園", "学校")), (3, thai), (4, "全く別の話をここに書いておきます"), (5, "はい。\n42"), (6, "はい\n42\n43"), (7, "一二三")]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = {r.doc_id: r.text for r in found}
+    assert kept == {1: rows[0][1], 2: "", 3: "", 4: rows[3][1], 5: "はい。\n42", 6: "42\n43", 7: "一二三"}
 
 
 def test_blocking():
