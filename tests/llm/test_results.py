@@ -57,6 +57,8 @@ def test_edit_distance():
             for j, y in enumerate(b):
                 row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
         assert line_dedup.edit_distance(a, b) == row[-1]
+        for most in range(30):
+            assert line_dedup.within(a, b, most) == (row[-1] <= most)
 
 
 def plain_words(line):
