@@ -7,7 +7,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subsmart.llm.components import components
@@ -120,6 +120,35 @@ def near_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
 
 
+def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs ``a``, ``b`` that connect what ``near_pairs`` connects, without listing all of those.
+
+    Every fingerprint is linked to the least that it meets in its buckets of equal
+    signatures, of which each bucket offers its own least. Then only those outside the bucket's largest group so far meet all others, as within a group
+    nothing is left to connect. So n near copies of one text take about n pairs.
+    """
+    bucket = Window.partitionBy("slot", "rest")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    least = signatures(prints, distance).select(F.min("print").over(bucket).alias("a"), F.col("print").alias("b"))
+    # One link each, to the least of all: the others are in one group with it as a rule.
+    stars = stored(least.filter((F.col("a") < F.col("b")) & near).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    groups = components(stars)
+    sizes = groups.join(groups.groupBy("root").agg(F.count("*").alias("size")), "root")
+    tagged = stored(
+        prints.join(sizes.withColumnRenamed("node", "print"), "print", "left").select(
+            "print", F.coalesce("root", "print").alias("group"), F.coalesce("size", F.lit(1)).alias("size")
+        )
+    )
+    index = signatures(prints, distance).join(tagged, "print")
+    largest = F.max(F.struct("size", "group")).over(bucket)["group"]
+    rows = index.withColumn("main", F.col("group") == largest)
+    left = rows.filter("not main").select("slot", "rest", F.col("print").alias("a"), F.col("group").alias("_group"))
+    right = rows.select("slot", "rest", F.col("print").alias("b"), "group", "main")
+    once = F.col("main") | (F.col("a") < F.col("b"))
+    cross = left.join(right, ["slot", "rest"]).filter(near & once & (F.col("_group") != F.col("group")))
+    return stored(stars.unionByName(cross.select("a", "b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``doc_id``, ``text_key``, ``print``, ``component_id`` and ``root`` of every document.
 
@@ -133,8 +162,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE)
     """
     own = stored(fingerprints(docs, k))
     nodes = own.groupBy("print").agg(F.min("doc_id").alias("first"))
-    pairs = stored(near_pairs(own.select("print").distinct(), distance))
-    linked = components(pairs).withColumnRenamed("node", "print")
+    linked = components(links(own.select("print").distinct(), distance)).withColumnRenamed("node", "print")
     rooted = nodes.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
     classes = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = rooted.join(classes, "root").select("print", "component_id", "root")

@@ -188,6 +188,26 @@ def test_near_pairs_at_every_distance(spark):
     assert len(found) == len(expected) and {(r.a, r.b) for r in found} == expected
 
 
+def test_near_copies_take_few_links(spark):
+    """Thousands of copies of one text, each a bit or two off, and strays around them."""
+    rng = np.random.default_rng(8)
+    centre = int(rng.integers(0, 1 << 63))
+    flip = lambda x, n: x ^ sum(1 << int(b) for b in rng.choice(63, n, replace=False))
+    copies = {flip(centre, int(rng.integers(1, 3))) for _ in range(5000)}
+    strays = {flip(centre, 5) for _ in range(30)} | {int(x) for x in rng.integers(0, 1 << 63, 100)}
+    prints = sorted(copies | strays)
+    found = simhash.links(spark.createDataFrame([(x,) for x in prints], "print long")).collect()
+    assert len(found) < 5 * len(prints)
+    groups, exact = Groups(), Groups()
+    for r in found:
+        groups.join(r.a, r.b)
+    array = np.array(prints, np.int64)
+    for x in prints:
+        for y in array[np.bitwise_count(array ^ x) <= 4].tolist():
+            exact.join(x, y)
+    assert [groups.find(x) for x in prints] == [exact.find(x) for x in prints]
+
+
 def test_long_benchmark_items_end(spark):
     """Time grows with the item, and a long item's passage is found."""
     rng = np.random.default_rng(11)
