@@ -331,6 +331,47 @@ def test_html_blocks():
     assert html_text.main_text(html_text.parse("<p>open <!-- no end"), []) == "open"
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ['<div class="page no-sidebar">', '<div class="site has-sidebar">', '<article class="post comments-open">',
+     '<div class="left-side col">', '<div class="share-buttons-on">', '<div id="related"><div class="widget">'],
+)
+def test_no_class_word_empties_a_page(wrapper):
+    text = "A sentence of the article goes here. " * 10
+    page = f'<html><body>{wrapper}<p>{text}</p><p>{text}</p></div><div class="sidebar">Side text</div></body></html>'
+    assert html_text.main_text(html_text.parse(page), []) == f"{text.strip()}\n\n{text.strip()}"
+
+
+def test_long_comments_stay_out():
+    text, said = "A sentence of the article goes here. " * 10, "A reader says more than that. " * 18
+    page = f'<body><div class="content"><p>{text}</p></div><div id="comments"><p>{said}</p></div></body>'
+    assert html_text.main_text(html_text.parse(page), []) == text.strip()
+
+
+def test_long_attributes_and_deep_pages():
+    value = "x > y " * 2000
+    page = f'<body><div data-x="{value}"><p>{"Short text here. " * 20}</p></div></body>'
+    assert html_text.main_text(html_text.parse(page), []) == ("Short text here. " * 20).strip()
+    for deep in ("<div>x " * 10_000, "<div class=ad>x " * 10_000, "</b></div>" * 10_000 + "<li>x " * 10_000, "<div>" * 10_000 + "</p>" * 10_000):
+        begin = time.time()
+        parsed = html_text.parse(deep)
+        html_text.main_text(parsed, [parsed.text_of(len(parsed.names) - 1)])
+        assert time.time() - begin < 5
+
+
+def test_host_votes_where_classes_vary(spark):
+    """Each page has classes of its own; they still agree on a path, and lists stay short."""
+    text = "A sentence of the article goes here. " * 6
+    rows = [
+        (i, f"http://a.org/{i}", f'<body class="post-title-{chr(97 + i % 26)}-{i}"><div class="my-long-title-of-page-{chr(97 + i % 26)}{"x" * (i % 7)} main-col"><p>{text}</p></div><div class="box"><p>Other words.</p></div></body>')
+        for i in range(300)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    (found,) = html_text.host_paths(pages).collect()
+    assert found.paths == ["body>div.main-col"]
+    assert {r.text for r in html_text.extract(pages, ["page_id"]).collect()} == {text.strip()}
+
+
 def test_html_article_at_several_levels():
     say = lambda word, n: (word + " ") * n
     paragraphs = f"<h1>Title</h1><p>{say('first', 50)}</p><p>{say('second', 50)}</p>"
