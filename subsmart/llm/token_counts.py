@@ -15,10 +15,13 @@ from subsmart.llm.tables import bound_batches, read, stored
 TOKENIZERS = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-# The most frequent pre-tokens, whose pieces every task gets; a fixed number.
+# The most frequent pre-tokens, whose pieces every task gets: a fixed number of at most so
+# many bytes each, 3 MB in all. Longer ones, whole texts in scripts without spaces, are joined.
 FREQUENT = 50_000
-# Distinct pre-tokens that a task gathers before it passes their counts on.
+FREQUENT_BYTES = 64
+# Distinct pre-tokens, and their bytes, that a task gathers before it passes their counts on.
 GATHERED = 200_000
+GATHERED_BYTES = 32 << 20
 
 
 def tokenizer_path(name: str = TOKENIZER, folder: str = TOKENIZERS) -> str:
@@ -57,6 +60,7 @@ def _utf8(column) -> list[bytes]:
 def _frequencies(batches):
     """Pre-tokens of a task with their counts, passed on whenever many are gathered."""
     seen: Counter = Counter()
+    held = 0
 
     def out():
         keys = pa.array(seen.keys(), pa.binary()).cast(pa.string())
@@ -67,9 +71,12 @@ def _frequencies(batches):
     for batch in batches:
         for text in _utf8(batch.column(0)):
             seen.update(pre_tokens(text))
-            if len(seen) >= GATHERED:
-                yield out()
-                seen.clear()
+            held += len(text)  # no less than what it adds
+            if len(seen) >= GATHERED or held >= GATHERED_BYTES:
+                if len(seen) >= GATHERED or sum(map(len, seen)) >= GATHERED_BYTES:
+                    yield out()
+                    seen.clear()
+                held = sum(map(len, seen))
     yield out()
 
 
@@ -125,9 +132,10 @@ def token_counts(
 
     A pre-token is a run without ASCII white space. The library tokenises each distinct
     one once; no ids of documents are made. A document's pieces are the sum over its
-    pre-tokens of frequency times pieces. The ``frequent`` most common pre-tokens, a fixed
-    number, are summed where the documents lie; the others are joined by pre-token, and
-    none of those is common, so no key of that join is hot.
+    pre-tokens of frequency times pieces. The ``frequent`` most common short pre-tokens, a
+    fixed number, are summed where the documents lie; the others are joined by pre-token.
+    Of those only a long one can be common; adaptive execution splits it, as it is one row
+    on the other side.
 
     Null texts are empty and have no tokens. Every row counts as a document, also when ids
     repeat or are null. Other columns are not read.
@@ -142,7 +150,8 @@ def token_counts(
         .agg(F.sum("n").alias("n"))
     )
     pieces = stored(counted.mapInArrow(_pieces(path), "piece_of string, n long, pieces long"))
-    top = pieces.orderBy(F.desc("n"), "piece_of").limit(frequent).select("piece_of", "pieces")
+    short = pieces.filter(F.octet_length("piece_of") <= FREQUENT_BYTES)
+    top = short.orderBy(F.desc("n"), "piece_of").limit(frequent).select("piece_of", "pieces")
     known = {row[0].encode(): row[1] for row in top.collect()}
     shared = spark.sparkContext.broadcast(known)
     rows = docs.select(

@@ -14,7 +14,19 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from subsmart.llm import decontamination, fingerprints, html_text, language, line_dedup, private_data, registry, simhash, toxicity
+from subsmart.llm import (
+    decontamination,
+    fingerprints,
+    html_text,
+    language,
+    line_dedup,
+    mixing,
+    private_data,
+    registry,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from subsmart.llm.components import components
 
 
@@ -331,6 +343,25 @@ def test_html_blocks():
     assert html_text.main_text(html_text.parse("<p>open <!-- no end"), []) == "open"
 
 
+def test_token_counts_without_spaces(spark, monkeypatch):
+    """Whole texts are pre-tokens, which are neither collected nor gathered without bound."""
+    monkeypatch.setattr(token_counts, "GATHERED_BYTES", 1000)
+    texts = ["今日は天気がとても良い" * (1 + i % 40) for i in range(300)] + ["short words here"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = token_counts.tokenizer(token_counts.tokenizer_path())
+    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs).collect()}
+    assert found == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("parts,cells", [(1, 50_000), (5, 50_000), (5, 7)])
+def test_mixing_reruns_agree_on_repeated_ids(spark, parts, cells):
+    """Rows of one id, told apart by text alone, get the same copies however they lie."""
+    rows = [(i % 30, " ".join(["w"] * (i % 4) + [f"t{i}"]), ["a", "b", "c", None][i % 4]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = lambda df: {(r.text, r.source): r.copies for r in mixing.mix_sources(df, cell_rows=cells).collect()}
+    assert copies(docs.repartition(parts)) == copies(docs.orderBy(F.desc("text")).coalesce(1))
+
+
 @pytest.mark.parametrize(
     "wrapper",
     ['<div class="page no-sidebar">', '<div class="site has-sidebar">', '<article class="post comments-open">',
