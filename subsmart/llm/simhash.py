@@ -123,15 +123,15 @@ def near_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Pairs ``a``, ``b`` that connect what ``near_pairs`` connects, without listing all of those.
 
-    Every fingerprint is linked to the least that it meets in its buckets of equal
-    signatures, of which each bucket offers its own least. Then only those outside the bucket's largest group so far meet all others, as within a group
-    nothing is left to connect. So n near copies of one text take about n pairs.
+    In each bucket of equal signatures every fingerprint meets the least one first, which
+    gives it a few links, one for each of its buckets at most. Then only those outside the
+    bucket's largest group so far meet all others, as within a group nothing is left to
+    connect. So the links of near copies grow with their number, not with its square.
     """
     bucket = Window.partitionBy("slot", "rest")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     least = signatures(prints, distance).select(F.min("print").over(bucket).alias("a"), F.col("print").alias("b"))
-    # One link each, to the least of all: the others are in one group with it as a rule.
-    stars = stored(least.filter((F.col("a") < F.col("b")) & near).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    stars = stored(least.filter((F.col("a") < F.col("b")) & near).distinct())
     groups = components(stars)
     sizes = groups.join(groups.groupBy("root").agg(F.count("*").alias("size")), "root")
     tagged = stored(
