@@ -26,6 +26,7 @@ from subsmart.operators.spread import (
     Sized,
     group_total,
     partitions_for,
+    settle,
     sized,
     split_hot,
 )
@@ -104,8 +105,7 @@ def calendar_months(calendar: DataFrame) -> Sized:
     """One row per month of the calendar, with a bit for each of its days that is there."""
     bit = F.expr("shiftleft(1L, dayofmonth(full_date) - 1)")
     months = calendar.groupBy(month_start(F.col("full_date")).alias("_month"))
-    # Dates have years of four digits, so there are at most 120,000 rows of two numbers.
-    return Sized(F.broadcast(months.agg(F.bit_or(bit).alias("_days"))), None)
+    return sized(settle(months.agg(F.bit_or(bit).alias("_days"))))
 
 
 def subscription_months(
