@@ -21,16 +21,28 @@ BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
 # The classifier is fitted on at most so many texts of either kind.
 POSITIVE_ROWS, UNLABELLED_ROWS = 10_000, 40_000
-# A feature takes part if toxic texts have it more often by so many standard errors.
-STANDARD_ERRORS = 5.0
+# That a text has a word or beginning so often is a feature too.
+REPEATS = (2, 3, 5)
+# A feature takes part if toxic texts have it more often, with a likelihood ratio that is
+# as unlikely by chance as so many standard errors. Unlike a distance in standard errors,
+# the ratio is no larger for rare features, such as words of a few copies of one text.
+STANDARD_ERRORS = 4.0
 # And at least so many times as often as texts at large.
 TIMES_AS_OFTEN = 2.0
+# The class prior is taken to be so many times the toxic share of the labels, as a toxic
+# text that is missed weighs more than a clean one that is not.
+CAUTION = 1.5
 EPOCHS, BATCHES, RATE, DECAY = 60, 8, 0.05, 1e-5
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
 
 
+def _repeated(bucket: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of the feature that something of ``bucket`` stands ``n`` times."""
+    return (bucket * 31 + n * 7919) % BUCKETS
+
+
 def features(column: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the distinct features of each text, and each text's first (and the end).
 
@@ -39,6 +51,9 @@ def features(column: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarr
     data, begins = words.joined(pc.utf8_lower(column))
     starts, ends, firsts = words.spans(_WORD[data], begins)
     text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    if used is not None:
+        every = np.arange(BUCKETS)
+        needed = used | np.any([used[_repeated(every, n)] for n in REPEATS], axis=0)
     cells = []
     for k in (0, *PREFIXES):
         longer = slice(None) if k == 0 else ends - starts > k
@@ -46,8 +61,15 @@ def features(column: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarr
         last = ends[longer] if k == 0 else first + k
         bucket = ((words.word_hashes(data, first, last) + np.uint64(k)) % np.uint64(BUCKETS)).astype(np.int64)
         cell = text[longer] * BUCKETS + bucket
-        cells.append(cell if used is None else cell[used[bucket]])
-    distinct = np.unique(np.concatenate(cells))
+        cells.append(cell if used is None else cell[needed[bucket]])
+    distinct, times = np.unique(np.concatenate(cells), return_counts=True)
+    levels = [distinct]
+    for n in REPEATS:
+        often = distinct[times >= n]
+        levels.append(often - often % BUCKETS + _repeated(often % BUCKETS, n))
+    distinct = np.unique(np.concatenate(levels))
+    if used is not None:
+        distinct = distinct[used[distinct % BUCKETS]]
     return distinct % BUCKETS, np.searchsorted(distinct // BUCKETS, np.arange(len(firsts)))
 
 
@@ -60,6 +82,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def more_often(in_toxic: np.ndarray, toxic: int, in_all: np.ndarray, texts: int) -> np.ndarray:
+    """Which features toxic texts have more often than all texts, beyond chance."""
+    expected = (in_all + 0.5) / (texts + 1) * toxic
+    k = in_toxic.astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        having = np.where(k > 0, k * np.log(k / expected), 0)
+        lacking = np.where(k < toxic, (toxic - k) * np.log((toxic - k) / (toxic - expected)), 0)
+    unlikely = 2 * (having + lacking) > STANDARD_ERRORS**2
+    return unlikely & (k > TIMES_AS_OFTEN * expected)
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # one per bucket
@@ -162,8 +195,9 @@ def train(
     """A model from confirmed toxic texts and from texts as they come.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``toxic`` (0 or 1).
-    The class prior is the toxic share of all labelled rows. Features are those that the
-    toxic texts have more often than all texts; frequencies are counted over all of
+    The class prior is ``CAUTION`` times the toxic share of all labelled rows. Features are
+    words, their beginnings and how often they recur, of those that the toxic texts have
+    more often than all texts; frequencies are counted over all of
     ``docs``. The classifier is fitted on a bounded sample of toxic texts and one of all
     texts. Without toxic texts every score is near 0.
     """
@@ -173,7 +207,7 @@ def train(
     nothing = Model(np.zeros(BUCKETS, np.float32), -10.0)
     if not toxic:
         return nothing
-    prior = min(max(toxic / rows, 1e-4), 0.5)
+    prior = min(max(CAUTION * toxic / rows, 1e-4), 0.5)
     known = _least(labels.filter("toxic = 1").select("doc_id"), positive_rows, "positive")
     plain = _least(docs.select("doc_id"), unlabelled_rows, "unlabelled")
     flagged = docs.select("doc_id", "text").join(
@@ -193,9 +227,7 @@ def train(
     texts, found = frequency[:, -1], frequency[:, :-1]
     if not texts.all():
         return nothing
-    usual, often = (found + 0.5) / (texts[:, None] + 1)
-    error = np.sqrt(usual * (1 - usual) * (1 / texts[0] + 1 / texts[1]))
-    used = (often - usual > STANDARD_ERRORS * error) & (often > TIMES_AS_OFTEN * usual)
+    used = more_often(found[1], texts[1], found[0], texts[0])
     sampled = flagged.join(
         F.broadcast(plain.select("doc_id", F.lit(True).alias("_plain"))), "doc_id", "left"
     ).select("text", (F.when(is_toxic, 1).otherwise(0) + F.when(F.col("_plain"), 2).otherwise(0)).alias("kind"))

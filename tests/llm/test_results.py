@@ -328,6 +328,40 @@ def test_toxicity_is_learned(spark):
     assert sum(r.predicted == r.toxic for r in found) > 0.98 * len(found)
 
 
+def test_toxicity_features_repeat():
+    """Words and their beginnings, and that they recur; the same ones when few are used."""
+    texts = pa.array(["vile vile vile other", "", None, "vilely"])
+    buckets, firsts = toxicity.features(texts)
+    assert firsts[1] - firsts[0] == 2 + 2 + 1 and firsts[1] == firsts[2] == firsts[3]
+    used = np.zeros(toxicity.BUCKETS, bool)
+    used[buckets[::2]] = True
+    some, begins = toxicity.features(texts, used)
+    whole = [set(buckets[a:b]) & set(buckets[::2]) for a, b in zip(firsts, firsts[1:])]
+    assert [set(some[a:b]) for a, b in zip(begins, begins[1:])] == whole
+
+
+def test_toxicity_gate_needs_more_than_few_copies():
+    in_all, in_toxic = np.array([4, 40, 400]), np.array([3, 20, 21])
+    assert toxicity.more_often(in_toxic, 45, in_all, 1000).tolist() == [False, True, False]
+
+
+def test_toxicity_is_found_in_held_out_rows(spark):
+    """Of few labels, over half of the held-out toxic rows in all; clean ones are left alone."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(2500):
+        words = [chr(97 + x % 26) + chr(97 + x // 26) + "word" for x in rng.integers(0, 500, 100)]
+        toxic = int(i % 20 == 3)
+        if toxic:
+            words[:3] = ["vilely", "vileness", "vile"]
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learned(docs, docs.filter("doc_id % 3 = 0").select("doc_id", "toxic"))
+    found = toxicity.score_toxicity(docs, model).join(docs, "doc_id").collect()
+    assert sum(r.predicted for r in found if r.toxic) > 0.9 * 125
+    assert sum(r.predicted for r in found if not r.toxic) < 0.01 * len(found)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header>
 <nav><ul><li><a href="/">Home</a></ul></nav><div class="cookie-notice">We use cookies</div>
 <div class="post-12"><h1>Title &amp;  more</h1><p>First <b>para</b><br>graph.<p>Second &eacute;&#33; <a href=x>link</a></p>
