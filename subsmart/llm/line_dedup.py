@@ -1,8 +1,9 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, groups.
 
 Lines of 0.8 edit similarity may have SimHashes over 15 bits apart, which no pigeonhole
-blocks of 64 bits reach. Blocks find the closest lines, at most ``DISTANCE`` bits apart;
-least hashes of runs of words are further keys of the same join, and edit similarity decides.
+blocks of 64 bits reach. Blocks bring the closest lines together. What they cannot reach is
+found for certain by a prefix filter: lines alike share one of the rarest of their pairs of
+words in a row. Edit similarity decides.
 """
 
 from __future__ import annotations
@@ -26,21 +27,15 @@ from subsmart.operators.spread import sized
 # Lines of fewer words are duplicates only if all their words are equal, digits too.
 LEAST_WORDS = 5
 SIMILARITY = 0.8
-# Bits between lines that blocks find for certain, and between lines that are compared at
-# all: beyond it lies one in some hundred pairs of just 0.8 similarity.
+# Bits between lines that blocks are made for.
 DISTANCE = 3
-REACH = 22
-# In a bucket of so many lines all pairs are compared.
-CROWD = 8
-# Words of the runs, and how many least hashes of them a line gives. Short lines have few
-# runs, of fewer words, and give more of them; lines in between give both kinds, so that
-# neighbours in length share one.
-RUN, LEAST_HASHES = 4, 6
-SHORT_RUN, SHORT_HASHES = 3, 12
-SHORT_UPTO, LONG_FROM = 15, 11
-SLOTS = LEAST_HASHES + SHORT_HASHES
-# Keys that split a crowded bucket.
-NEXT_KEYS = 3
+# Lines of a bucket whose pairs one task compares; those of larger buckets are dealt out.
+CROWD = 1024
+# Pairs of words are ordered by how often their slot occurs in so many documents.
+SLOT_BITS, SAMPLED = 20, 10_000
+# Bits of a line's number in a batch, of the level of a pair's slot, and of its hash.
+PLACE_BITS, LEVEL_BITS = 22, 8
+HASH_BITS = 64 - PLACE_BITS - LEVEL_BITS
 BITS = 64
 # Lines that may share a bucket by chance; beyond it, more blocks must agree.
 BY_CHANCE = 64
@@ -157,58 +152,111 @@ def simhashes(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-_FACTORS = words.mixed(np.arange(1, max(LEAST_HASHES, SHORT_HASHES) + 1, dtype=np.uint64)) | np.uint64(1)
+def parities(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each line: whether an odd number of its words fall on the bit.
 
-
-def _least(hashes: np.ndarray, firsts: np.ndarray, run: int, orders: int) -> np.ndarray:
-    """For each line the least hash of its runs of words in so many orders, cut to 32 bits."""
-    runs, begins = words.shingle_hashes(hashes, firsts, run)
-    out = np.empty((len(firsts) - 1, orders), np.int32)
-    for i, factor in enumerate(_FACTORS[:orders]):
-        least = np.minimum.reduceat(runs * factor, begins[:-1])
-        out[:, i] = (words.mixed(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return out
+    A word inserted or deleted turns one bit and a word replaced two at most.
+    """
+    if len(firsts) < 2:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    bit = np.uint64(1) << (hashes & np.uint64(63))
+    low = (hashes & np.uint64(64)) == 0
+    sides = (np.where(low, bit, np.uint64(0)), np.where(low, np.uint64(0), bit))
+    return tuple(np.bitwise_xor.reduceat(x, firsts[:-1]) for x in sides)
 
 
-def run_keys(hashes: np.ndarray, firsts: np.ndarray) -> pa.Array:
-    """For each line ``LEAST_HASHES`` keys from its long runs of words, if it has
-    ``LONG_FROM`` words, and then ``SHORT_HASHES`` from its short runs, if it has up to
-    ``SHORT_UPTO``.
+def prefix_lengths(count: np.ndarray) -> np.ndarray:
+    """How many of the rarest pairs of words hold one that every line alike shares.
 
-    A key is the least of the runs' hashes in one of as many orders, so two lines share it
-    as likely as they share their runs.
+    An edit breaks two of the ``m - 1`` pairs of the longer line of ``m`` words, and
+    ``m // 5`` edits are allowed, so ``m - 1 - 2 * (m // 5)`` are shared; a line of ``n``
+    words misses at most its own ``n - 1`` less the least of these for ``m`` from ``n`` to
+    ``n / 0.8``. Lines alike therefore share one of the first pairs in any order of all.
     """
-    count = np.diff(firsts)
-    long, short = count >= LONG_FROM, (count >= LEAST_WORDS) & (count <= SHORT_UPTO)
-    offsets = np.concatenate([[0], np.cumsum(LEAST_HASHES * long.astype(np.int64) + SHORT_HASHES * short)])
-    values = np.empty(offsets[-1], np.int32)
-    kinds = ((long, RUN, LEAST_HASHES, 0), (short, SHORT_RUN, SHORT_HASHES, LEAST_HASHES * long))
-    for wanted, run, orders, skipped in kinds:
-        if wanted.any():
-            own = np.concatenate([[0], np.cumsum(count[wanted])])
-            at = (offsets[:-1] + skipped)[wanted, None] + np.arange(orders)
-            values[at] = _least(hashes[np.repeat(wanted, count)], own, run, orders)
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+    return 2 * (count // 5) + 1 + (count % 5 == 4)
 
 
-LINE = "doc_id long, text_key long, number int, line long, n int, print long, keys array<int>"
+def _slots(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _lines(batches):
+def _slot_counts(batches):
+    total = np.zeros(1 << SLOT_BITS, np.int64)
     for batch in batches:
-        hashes, firsts, text, number = line_words(batch.column(2))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(pa.array(text)),
-                batch.column(1).take(pa.array(text)),
-                pa.array(number, pa.int32()),
-                pa.array(line_keys(hashes, firsts).view(np.int64)),
-                pa.array(np.diff(firsts), pa.int32()),
-                pa.array(simhashes(hashes, firsts).view(np.int64)),
-                run_keys(hashes, firsts),
-            ],
-            ["doc_id", "text_key", "number", "line", "n", "print", "keys"],
-        )
+        hashes, firsts, _, _ = line_words(batch.column(2))
+        grams, _ = words.shingle_hashes(hashes, firsts, 2)
+        total += np.bincount(_slots(grams), minlength=1 << SLOT_BITS)
+    slots = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(total[slots])], ["slot", "times"])
+
+
+def gram_levels(rows: DataFrame) -> np.ndarray:
+    """How frequent the pairs of words of each slot are, from 0 to 255.
+
+    Counted in about ``SAMPLED`` documents. The levels only order pairs of words: whatever
+    they are, the same lines are found alike, with more or fewer comparisons.
+    """
+    one_in = max(1, rows.count() // SAMPLED)
+    sample = rows.filter(F.pmod(F.xxhash64("text_key"), F.lit(one_in)) == 0)
+    counts = sample.mapInArrow(_slot_counts, "slot int, times long").groupBy("slot").agg(F.sum("times").alias("times"))
+    found = counts.filter("times > 1").toArrow()
+    levels = np.zeros(1 << SLOT_BITS, np.uint8)
+    times = found["times"].to_numpy()
+    levels[found["slot"].to_numpy()] = np.minimum(16 * np.log2(times), (1 << LEVEL_BITS) - 1)
+    return levels
+
+
+def prefix_keys(hashes: np.ndarray, firsts: np.ndarray, levels: np.ndarray) -> pa.Array:
+    """For each line of ``LEAST_WORDS`` words the keys of its rarest pairs of words in a row.
+
+    Repeated pairs are told apart by their number.
+    """
+    count = np.diff(firsts)
+    made = np.where(count >= LEAST_WORDS, prefix_lengths(count), 0)
+    grams, begins = words.shingle_hashes(hashes, firsts, 2)
+    tokens = levels[_slots(grams)].astype(np.uint64) << np.uint64(HASH_BITS)
+    tokens |= grams & np.uint64((1 << HASH_BITS) - 1)
+    line = np.repeat(np.arange(len(count)), np.diff(begins))
+    keys = []
+    for low in range(0, len(count), 1 << PLACE_BITS):
+        high = min(low + (1 << PLACE_BITS), len(count))
+        own = slice(begins[low], begins[high])
+        place = (line[own] - low).astype(np.uint64) << np.uint64(LEVEL_BITS + HASH_BITS)
+        ordered = np.sort(tokens[own] | place)
+        at = np.arange(len(ordered))
+        new = np.diff(ordered, prepend=~ordered[:1]) != 0
+        repeat = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
+        kept = at - (begins[line[own]] - begins[low]) < made[line[own]]
+        token = ordered[kept] & np.uint64((1 << LEVEL_BITS + HASH_BITS) - 1)
+        keys.append(words.mixed(words.mixed(token) + repeat[kept]).astype(np.uint32).view(np.int32))
+    offsets = np.concatenate([[0], np.cumsum(made)])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate([*keys, np.zeros(0, np.int32)])))
+
+
+LINE = "doc_id long, text_key long, number int, line long, n int, print long, low long, high long, keys array<int>"
+
+
+def _lines(levels: np.ndarray):
+    def hashed(batches):
+        for batch in batches:
+            hashes, firsts, text, number = line_words(batch.column(2))
+            low, high = parities(hashes, firsts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(text)),
+                    batch.column(1).take(pa.array(text)),
+                    pa.array(number, pa.int32()),
+                    pa.array(line_keys(hashes, firsts).view(np.int64)),
+                    pa.array(np.diff(firsts), pa.int32()),
+                    pa.array(simhashes(hashes, firsts).view(np.int64)),
+                    pa.array(low.view(np.int64)),
+                    pa.array(high.view(np.int64)),
+                    prefix_keys(hashes, firsts, levels),
+                ],
+                ["doc_id", "text_key", "number", "line", "n", "print", "low", "high", "keys"],
+            )
+
+    return hashed
 
 
 def blocking(lines: int) -> tuple[int, int]:
@@ -224,7 +272,10 @@ def blocking(lines: int) -> tuple[int, int]:
 
 
 def block_keys(blocks: int) -> list[Column]:
-    """For each choice of all blocks but one, 32 bits of a hash of its bits of ``print``."""
+    """For each choice of all blocks but one, 32 bits of a hash of its bits of ``print``.
+
+    They bring the closest lines together; no pair rests on them, as ``prefix_keys`` has all.
+    """
     cuts = [BITS * i // blocks for i in range(blocks + 1)]
     masks = [((1 << high) - 1) ^ ((1 << low) - 1) for low, high in zip(cuts, cuts[1:])]
     keys = []
@@ -239,79 +290,77 @@ def _bucket(slot: Column, key: Column) -> Column:
     return F.shiftleft(slot.cast("long"), 32).bitwiseOR(key.bitwiseAND(F.lit((1 << 32) - 1)))
 
 
-def _crowded(index: DataFrame) -> DataFrame:
-    """``index`` (``bucket``, ``line``) without lines alone in a bucket; ``crowd`` is its lines."""
-    crowd = F.count("*").over(Window.partitionBy("bucket"))
-    return stored(index.withColumn("crowd", crowd).filter("crowd > 1"))
-
-
 def met(prints: DataFrame, blocks: int) -> DataFrame:
-    """``bucket``, ``line`` and ``crowd`` of lines that share a key with another line.
-
-    Only the two numbers are shuffled. A bucket is a key and its slot: the order in which a
-    run is least, or the choice of blocks.
-    """
-    skipped = F.when(F.col("n") < LONG_FROM, LEAST_HASHES).otherwise(0)
-    least = F.transform("keys", lambda key, i: _bucket(i + skipped, key))
-    chosen = [_bucket(F.lit(SLOTS + i), key) for i, key in enumerate(block_keys(blocks))]
-    buckets = F.concat(least, F.array(*chosen))
-    return _crowded(prints.select("line", F.explode(buckets).alias("bucket")))
-
+    """``bucket`` and ``line`` of lines that share a key with another line.
 
-def refined(shared: DataFrame, prints: DataFrame) -> DataFrame:
-    """Buckets within crowded ones: lines that share one of the next keys as well.
-
-    Many lines share a key, but are not alike, where a passage is part of all of them; lines
-    that are alike then share further keys.
+    ``crowd`` is the bucket's lines and ``least`` the least of them. Only the two numbers
+    are shuffled. A bucket is a key and its slot: 0, or the choice of blocks.
     """
-    slot = F.shiftright("bucket", 32).cast("int")
-    own = shared.filter((F.col("crowd") > CROWD) & (slot < SLOTS)).join(prints.select("line", "n", "keys"), "line")
-    short = slot >= LEAST_HASHES
-    before = F.when(short & (F.col("n") >= LONG_FROM), LEAST_HASHES).otherwise(0)
-    size = F.when(short, SHORT_HASHES).otherwise(LEAST_HASHES)
-    place = F.when(short, slot - LEAST_HASHES).otherwise(slot)
-    further = [
-        F.xxhash64("bucket", F.lit(i), F.get("keys", before + (place + i) % size)) for i in range(1, NEXT_KEYS + 1)
-    ]
-    return _crowded(own.select("line", F.explode(F.array(*further)).alias("bucket")))
+    rarest = F.transform("keys", lambda key: _bucket(F.lit(0), key))
+    chosen = [_bucket(F.lit(1 + i), key) for i, key in enumerate(block_keys(blocks))]
+    index = prints.select("line", F.explode(F.concat(rarest, F.array(*chosen))).alias("bucket"))
+    here = Window.partitionBy("bucket")
+    found = index.select("bucket", "line", F.count("*").over(here).alias("crowd"), F.min("line").over(here).alias("least"))
+    return stored(found.filter("crowd > 1"))
 
 
 def _near(a: str, b: str) -> Column:
-    """At most ``REACH`` bits apart, and alike in length as likeness demands."""
+    """What is true of all lines alike: close in length, and few bits of parity apart."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = F.col(f"{a}.print").bitwiseXOR(F.col(f"{b}.print"))
-    return (F.bit_count(differ) <= REACH) & (F.least(n, m) >= F.greatest(n, m) * SIMILARITY)
+    longer = F.greatest(n, m)
+    differ = [F.bit_count(F.col(f"{a}.{x}").bitwiseXOR(F.col(f"{b}.{x}"))) for x in ("low", "high")]
+    return (F.least(n, m) >= longer * SIMILARITY) & (differ[0] + differ[1] <= 2 * F.floor(longer * (1 - SIMILARITY) + 1e-9))
 
 
-def star_pairs(index: DataFrame) -> DataFrame:
-    """Pairs of each line with the least line of each of its buckets, if near and of other groups."""
-    row = F.struct("line", "n", "print", "group")
-    rows = index.select(row.alias("b"), F.min(row).over(Window.partitionBy("bucket")).alias("a"))
-    other = F.col("a.group") != F.col("b.group")
-    return (
-        rows.filter(other & _near("a", "b"))
-        .select(F.col("a.line").alias("a"), F.col("b.line").alias("b"))
-        .distinct()
-    )
+def star_pairs(shared: DataFrame, prints: DataFrame) -> DataFrame:
+    """Pairs of each line with the least line of each of its buckets, if near."""
+    pairs = shared.filter("least < line").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct()
+    side = lambda name: prints.select(F.col("line").alias(name), F.struct("n", "low", "high").alias(f"of_{name}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(_near("of_a", "of_b")).select("a", "b")
+
 
+def cross_pairs(shared: DataFrame, tagged: DataFrame) -> DataFrame:
+    """All other near pairs in a bucket of lines of different groups.
 
-def cross_pairs(index: DataFrame) -> DataFrame:
-    """Near pairs of lines of different groups in a bucket of at most ``CROWD`` lines."""
-    a, b = index.alias("a"), index.alias("b")
+    A bucket's least line has met all others. Lines of a bucket beyond ``CROWD`` are cut into
+    parts, and every two parts meet in a cell of their own, so no task has a whole bucket.
+    """
+    here = Window.partitionBy("bucket")
+    rows = (
+        shared.filter("crowd > 2 and line > least")
+        .join(tagged, "line")
+        .withColumn("_first", F.min("group").over(here))
+        .withColumn("_last", F.max("group").over(here))
+        .filter("_first < _last")
+    )
+    parts = F.ceil(F.col("crowd") / CROWD).cast("long")
+    part = F.pmod(F.xxhash64("line"), F.col("_parts"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+    cells = (
+        stored(rows.drop("_first", "_last", "least"))
+        .withColumn("_parts", parts)
+        .withColumn("part", part)
+        .withColumn("_other", other)
+        .withColumn("cell", F.least("part", "_other") * F.col("_parts") + F.greatest("part", "_other"))
+        .withColumn("own", F.col("part") == F.col("_other"))
+        .select("bucket", "cell", "part", "own", "line", "group", "n", "low", "high")
+    )
+    a, b = cells.alias("a"), cells.alias("b")
+    once = F.col("a.own") | (F.col("a.part") != F.col("b.part"))
     other = (F.col("a.line") < F.col("b.line")) & (F.col("a.group") != F.col("b.group"))
     return (
-        a.join(b, "bucket")
-        .filter(other & _near("a", "b"))
+        a.join(b, ["bucket", "cell"])
+        .filter(once & other & _near("a", "b"))
         .select(F.col("a.line").alias("a"), F.col("b.line").alias("b"))
         .distinct()
     )
 
 
 def with_groups(lines: DataFrame, groups: DataFrame) -> DataFrame:
-    """``line``, ``n``, ``print`` and the line's ``group`` (of ``node``, ``root``)."""
+    """``line``, its ``n`` and parities, and its ``group`` (of ``node``, ``root``)."""
     known = groups.withColumnRenamed("node", "line")
     return lines.join(known, "line", "left").select(
-        "line", "n", "print", F.coalesce("root", "line").alias("group")
+        "line", "n", "low", "high", F.coalesce("root", "line").alias("group")
     )
 
 
@@ -441,7 +490,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("_text_key").alias("text_key"), "text")
-    found = stored(rows.mapInArrow(_lines, LINE))
+    found = stored(rows.mapInArrow(_lines(gram_levels(rows)), LINE))
     place = F.struct("doc_id", "text_key", "number")
     lines = stored(
         found.groupBy("line").agg(
@@ -449,23 +498,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
             F.min(place).alias("place"),
             F.min("n").alias("n"),
             F.min("print").alias("print"),
+            F.min("low").alias("low"),
+            F.min("high").alias("high"),
             F.first("keys").alias("keys"),
         )
     )
     blocks, _ = blocking(lines.count())
-    prints = lines.filter(F.col("n") >= LEAST_WORDS).select("line", "n", "print", "keys")
+    prints = lines.filter(F.col("n") >= LEAST_WORDS).select("line", "n", "print", "low", "high", "keys")
     shared = met(prints, blocks)
     # Each line with the least of its buckets: a group of any size is linked by as many pairs.
-    alone = prints.select("line", "n", "print", F.col("line").alias("group"))
-    near = star_pairs(shared.join(alone, "line"))
-    stars = components(verified(stored(near), lines, rows))
-    # What links the groups found so far, then groups of groups.
-    tagged = with_groups(prints, stars)
-    inner = refined(shared, prints)
-    small = shared.filter(F.col("crowd") <= CROWD).unionByName(inner.filter(F.col("crowd") <= CROWD))
-    large = inner.filter(F.col("crowd") > CROWD)
-    pairs = cross_pairs(small.join(tagged, "line")).unionByName(star_pairs(large.join(tagged, "line")))
-    cross = verified(stored(pairs.distinct()), lines, rows)
+    stars = components(verified(stored(star_pairs(shared, prints)), lines, rows))
+    # What links the groups found so far.
+    cross = verified(stored(cross_pairs(shared, with_groups(prints, stars))), lines, rows)
     for side in ("a", "b"):
         of = stars.select(F.col("node").alias(side), F.col("root").alias("_root"))
         cross = cross.join(of, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")
@@ -496,11 +540,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     Lines end at line feeds. Lines of ``LEAST_WORDS`` words or more, normalised in case,
     digits and punctuation, are alike if at least ``SIMILARITY`` of the words are the same by
-    edit distance. Compared are lines that share a key and are ``REACH`` bits of their
-    SimHashes apart at most; keys are all blocks of the SimHash but one, and the least hash
-    of the runs of words in one of several orders. In a bucket of lines with one key, all
-    meet the least line, and in small buckets all others; crowded ones are split by further
-    keys. Shorter lines that have a letter are alike if their words are equal. Characters of
+    edit distance, and all such pairs are linked. Compared are lines that share a key: the
+    blocks of the SimHash but one, and the rarest pairs of words in a row, of which lines alike
+    share one for certain. In a bucket of lines with one key, all meet the least line, and
+    then all lines that are not yet of one group meet.
+    Shorter lines that have a letter are alike if their words are equal. Characters of
     scripts without spaces are words. Of each group connected by likeness one occurrence
     stays: that of the least id (null is least), in a document the first. Lines without words
     stay as they are.

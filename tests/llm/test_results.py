@@ -155,6 +155,62 @@ def test_links_of_changed_lines_are_found(spark, share, least):
     assert all(i % 2 for i in gone) and len(gone) >= 300 * least
 
 
+def test_every_changed_line_is_found(spark):
+    """Lines with a fifth of the words replaced, deleted or inserted, nothing else linking them."""
+    rng, texts = np.random.default_rng(7), []
+    for i in range(400):
+        words = some_words(int(rng.integers(7, 120)), rng)
+        other = changed(words, 0.2, rng)
+        if i % 3:
+            gone = rng.choice(len(words), len(words) // 5, replace=False)
+            other = [x for j, x in enumerate(words) if j not in gone]
+        sides = (other, words) if i % 3 == 2 else (words, other)
+        texts += [(2 * i + k, " ".join(x)) for k, x in enumerate(sides)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    gone = sorted(r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed)
+    assert gone == list(range(1, 800, 2))
+
+
+@pytest.mark.parametrize("crowd", [2, 1024])
+def test_pairs_of_crowded_buckets_are_found(spark, monkeypatch, crowd):
+    """Lines that share a passage, most of them too little to be alike, against all pairs."""
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    rng = np.random.default_rng(8)
+    passage, lines = some_words(20, rng), []
+    for _ in range(60):
+        own = some_words(10, rng)
+        lines += [passage + own, passage + changed(own, 0.6, rng), changed(passage, 0.1, rng) + changed(own, 0.4, rng)]
+    for _ in range(40):
+        few = rng.integers(0, 6, int(rng.integers(5, 12)))
+        lines.append([f"w{'abcdef'[x]}" for x in few])
+    texts = [(i, " ".join(x)) for i, x in enumerate(lines)]
+    occurrences, groups, pairs = line_groups(texts)
+    expected, removed = kept_lines(texts, occurrences, groups)
+    found = line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(pairs) > 100 and 0 < removed < len(texts) - 60
+    assert {r.doc_id: r.text for r in found} == expected
+
+
+def test_lines_alike_share_a_key_in_any_order():
+    rng = np.random.default_rng(9)
+    levels = rng.integers(0, 256, 1 << line_dedup.SLOT_BITS).astype(np.uint8)
+    for n in [*range(5, 40), 83, 150]:
+        for _ in range(8):
+            a = rng.integers(0, rng.choice([3, 1000]), n).astype(np.uint64)
+            b = a.tolist()
+            for _ in range(n // 5):
+                at = int(rng.integers(0, len(b)))
+                b[at : at + 1] = [[], [int(rng.integers(0, 1000))], [b[at], 7]][rng.integers(0, 3)]
+            if len(b) < line_dedup.LEAST_WORDS:
+                continue
+            both = np.concatenate([a, np.array(b, np.uint64)]) * np.uint64(0x9E3779B97F4A7C15)
+            firsts = np.array([0, n, n + len(b)])
+            x, y = line_dedup.prefix_keys(both, firsts, levels).to_pylist()
+            assert set(x) & set(y)
+            differ = sum(int(p[0] ^ p[1]).bit_count() for p in line_dedup.parities(both, firsts))
+            assert differ <= 2 * (n // 5)
+
+
 def test_lines_of_scripts_without_spaces(spark):
     line = "今日は天気がとても良いので公園へ散歩に行きました。"
     thai = "วันนี้อากาศดีมากเราจึงไปเดินเล่นที่สวนสาธารณะ"
