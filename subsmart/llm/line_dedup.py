@@ -36,6 +36,12 @@ SLOT_BITS, SAMPLED = 20, 10_000
 # Bits of a line's number in a batch, of the level of a pair's slot, and of its hash.
 PLACE_BITS, LEVEL_BITS = 22, 8
 HASH_BITS = 64 - PLACE_BITS - LEVEL_BITS
+# Keys by which lines first meet the least of a bucket, before all keys are used.
+FEW = 3
+# Keys that one task compares, and that a task holds before it deals them out.
+PART_KEYS, HELD_KEYS = 1 << 21, 1 << 20
+# Rounds over the keys; each shuffles its share, so disk holds one share at a time.
+ROUNDS = 4
 BITS = 64
 # Lines that may share a bucket by chance; beyond it, more blocks must agree.
 BY_CHANCE = 64
@@ -206,10 +212,10 @@ def gram_levels(rows: DataFrame) -> np.ndarray:
     return levels
 
 
-def prefix_keys(hashes: np.ndarray, firsts: np.ndarray, levels: np.ndarray) -> pa.Array:
+def prefix_keys(hashes: np.ndarray, firsts: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each line of ``LEAST_WORDS`` words the keys of its rarest pairs of words in a row.
 
-    Repeated pairs are told apart by their number.
+    Returned are all keys, and where each line's begin (and the end). Repeated pairs are told apart by their number.
     """
     count = np.diff(firsts)
     made = np.where(count >= LEAST_WORDS, prefix_lengths(count), 0)
@@ -217,7 +223,7 @@ def prefix_keys(hashes: np.ndarray, firsts: np.ndarray, levels: np.ndarray) -> p
     tokens = levels[_slots(grams)].astype(np.uint64) << np.uint64(HASH_BITS)
     tokens |= grams & np.uint64((1 << HASH_BITS) - 1)
     line = np.repeat(np.arange(len(count)), np.diff(begins))
-    keys = []
+    keys = [np.zeros(0, np.uint32)]
     for low in range(0, len(count), 1 << PLACE_BITS):
         high = min(low + (1 << PLACE_BITS), len(count))
         own = slice(begins[low], begins[high])
@@ -228,12 +234,27 @@ def prefix_keys(hashes: np.ndarray, firsts: np.ndarray, levels: np.ndarray) -> p
         repeat = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
         kept = at - (begins[line[own]] - begins[low]) < made[line[own]]
         token = ordered[kept] & np.uint64((1 << LEVEL_BITS + HASH_BITS) - 1)
-        keys.append(words.mixed(words.mixed(token) + repeat[kept]).astype(np.uint32).view(np.int32))
+        keys.append(words.mixed(words.mixed(token) + repeat[kept]).astype(np.uint32))
     offsets = np.concatenate([[0], np.cumsum(made)])
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate([*keys, np.zeros(0, np.int32)])))
+    return np.concatenate(keys), offsets
+
+
+def few_keys(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each line the least of its keys in ``FEW`` orders; 0 if it has none."""
+    out = np.zeros((len(offsets) - 1, FEW), np.uint32)
+    some = np.diff(offsets) > 0
+    if some.any():
+        for i in range(FEW):
+            ordered = keys * np.uint32(0x9E3779B1 + 2 * 0x3C6EF372 * i & 0xFFFFFFFF)
+            out[some, i] = np.minimum.reduceat(ordered, offsets[:-1][some])
+    return out
+
 
+def _list(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int32)))
 
-LINE = "doc_id long, text_key long, number int, line long, n int, print long, low long, high long, keys array<int>"
+
+LINE = "doc_id long, text_key long, number int, line long, n int, print long, low long, high long, few array<int>, keys array<int>"
 
 
 def _lines(levels: np.ndarray):
@@ -241,6 +262,8 @@ def _lines(levels: np.ndarray):
         for batch in batches:
             hashes, firsts, text, number = line_words(batch.column(2))
             low, high = parities(hashes, firsts)
+            keys, offsets = prefix_keys(hashes, firsts, levels)
+            few = few_keys(keys, offsets)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(text)),
@@ -251,9 +274,10 @@ def _lines(levels: np.ndarray):
                     pa.array(simhashes(hashes, firsts).view(np.int64)),
                     pa.array(low.view(np.int64)),
                     pa.array(high.view(np.int64)),
-                    prefix_keys(hashes, firsts, levels),
+                    _list(few.ravel(), FEW * np.arange(len(few) + 1)),
+                    _list(keys, offsets),
                 ],
-                ["doc_id", "text_key", "number", "line", "n", "print", "low", "high", "keys"],
+                ["doc_id", "text_key", "number", "line", "n", "print", "low", "high", "few", "keys"],
             )
 
     return hashed
@@ -291,17 +315,17 @@ def _bucket(slot: Column, key: Column) -> Column:
 
 
 def met(prints: DataFrame, blocks: int) -> DataFrame:
-    """``bucket`` and ``line`` of lines that share a key with another line.
+    """``bucket`` and ``line`` of lines that share one of a few keys with another line.
 
-    ``crowd`` is the bucket's lines and ``least`` the least of them. Only the two numbers
-    are shuffled. A bucket is a key and its slot: 0, or the choice of blocks.
+    ``least`` is the least line of the bucket, which is left out itself. Only the two numbers
+    are shuffled. A bucket is a key and its slot: one of ``FEW``, or the choice of blocks.
     """
-    rarest = F.transform("keys", lambda key: _bucket(F.lit(0), key))
-    chosen = [_bucket(F.lit(1 + i), key) for i, key in enumerate(block_keys(blocks))]
+    rarest = F.transform("few", lambda key, i: _bucket(i, key))
+    chosen = [_bucket(F.lit(FEW + i), key) for i, key in enumerate(block_keys(blocks))]
     index = prints.select("line", F.explode(F.concat(rarest, F.array(*chosen))).alias("bucket"))
     here = Window.partitionBy("bucket")
-    found = index.select("bucket", "line", F.count("*").over(here).alias("crowd"), F.min("line").over(here).alias("least"))
-    return stored(found.filter("crowd > 1"))
+    found = index.select("bucket", "line", F.min("line").over(here).alias("least"))
+    return stored(found.filter("least < line"))
 
 
 def _near(a: str, b: str) -> Column:
@@ -314,31 +338,89 @@ def _near(a: str, b: str) -> Column:
 
 def star_pairs(shared: DataFrame, prints: DataFrame) -> DataFrame:
     """Pairs of each line with the least line of each of its buckets, if near."""
-    pairs = shared.filter("least < line").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct()
+    pairs = shared.select(F.col("least").alias("a"), F.col("line").alias("b")).distinct()
     side = lambda name: prints.select(F.col("line").alias(name), F.struct("n", "low", "high").alias(f"of_{name}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(_near("of_a", "of_b")).select("a", "b")
 
 
+def _dealt(parts: int, turn: int):
+    """Keys of one round with line, length and group, packed by part."""
+
+    def deal(held):
+        keys, lines, groups, n = (np.concatenate(x) for x in zip(*held))
+        part = keys // np.uint32(ROUNDS) % np.uint32(parts)
+        order = np.argsort(part, kind="stable")
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        some = np.flatnonzero(np.diff(ends, prepend=0))
+        cuts = [(ends[i - 1] if i else 0, ends[i]) for i in some]
+        # Instead of a group its difference from the line: zero for most.
+        columns = (x[order] for x in (keys, lines, lines ^ groups, n))
+        packed = [pa.array([x[i:j].tobytes() for i, j in cuts], pa.binary()) for x in columns]
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *packed], ["part", "keys", "lines", "groups", "ns"])
+
+    def dealt(batches):
+        held, size = [], 0
+        for batch in batches:
+            line, group, n, lists = batch.columns
+            keys = lists.flatten().to_numpy().view(np.uint32)
+            own = keys % np.uint32(ROUNDS) == turn
+            row = np.repeat(np.arange(len(line)), lists.value_lengths().to_numpy())[own]
+            short = np.minimum(n.to_numpy(), 0xFFFF).astype(np.uint16)
+            held.append((keys[own], line.to_numpy()[row], group.to_numpy()[row], short[row]))
+            size += len(row)
+            if size >= HELD_KEYS:
+                yield deal(held)
+                held, size = [], 0
+        if size:
+            yield deal(held)
+
+    return dealt
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Of one part, the lines of keys that lines of different groups have.
+
+    Lines of a key are a bucket as long as the next longer one is close enough in length.
+    """
+    kinds = {"keys": np.uint32, "lines": np.int64, "groups": np.int64, "ns": np.uint16}
+    keys, lines, groups, n = (np.frombuffer(b"".join(table[x].to_pylist()), kind) for x, kind in kinds.items())
+    bucket = keys.astype(np.uint64) << np.uint64(32) | n
+    order = np.argsort(bucket)
+    keys, lines, groups, n, bucket = keys[order], lines[order], (groups ^ lines)[order], n[order], bucket[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (n[:-1] < n[1:] * SIMILARITY)
+    first = np.flatnonzero(new)
+    crowd = np.diff(np.append(first, len(keys)))
+    several = np.minimum.reduceat(groups, first) < np.maximum.reduceat(groups, first)
+    kept = np.repeat(several, crowd)
+    fill = lambda x: np.repeat(x[several], crowd[several])
+    return pa.table({"bucket": fill(bucket[first].view(np.int64)), "line": lines[kept], "crowd": fill(crowd)})
+
+
+def across(keyed: DataFrame, turn: int) -> DataFrame:
+    """``bucket``, ``line`` and ``crowd`` of lines that share a key with one of another group.
+
+    ``keyed`` has ``line``, ``group``, ``n`` and ``keys``. There are more keys than anything
+    else, so they are shuffled packed, by parts whose number grows with the keys.
+    """
+    total = keyed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
+    packed = "part int, keys binary, lines binary, groups binary, ns binary"
+    dealt = keyed.mapInArrow(_dealt(1 + total // ROUNDS // PART_KEYS, turn), packed)
+    return dealt.groupBy("part").applyInArrow(_meet, "bucket long, line long, crowd long")
+
+
 def cross_pairs(shared: DataFrame, tagged: DataFrame) -> DataFrame:
-    """All other near pairs in a bucket of lines of different groups.
+    """All near pairs of lines of different groups in a bucket.
 
-    A bucket's least line has met all others. Lines of a bucket beyond ``CROWD`` are cut into
-    parts, and every two parts meet in a cell of their own, so no task has a whole bucket.
+    Lines of a bucket beyond ``CROWD`` are cut into parts, and every two parts meet in a cell
+    of their own, so no task has all pairs of a bucket.
     """
-    here = Window.partitionBy("bucket")
-    rows = (
-        shared.filter("crowd > 2 and line > least")
-        .join(tagged, "line")
-        .withColumn("_first", F.min("group").over(here))
-        .withColumn("_last", F.max("group").over(here))
-        .filter("_first < _last")
-    )
+    rows = shared.join(tagged, "line")
     parts = F.ceil(F.col("crowd") / CROWD).cast("long")
     part = F.pmod(F.xxhash64("line"), F.col("_parts"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
     cells = (
-        stored(rows.drop("_first", "_last", "least"))
-        .withColumn("_parts", parts)
+        rows.withColumn("_parts", parts)
         .withColumn("part", part)
         .withColumn("_other", other)
         .withColumn("cell", F.least("part", "_other") * F.col("_parts") + F.greatest("part", "_other"))
@@ -500,16 +582,20 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
             F.min("print").alias("print"),
             F.min("low").alias("low"),
             F.min("high").alias("high"),
-            F.first("keys").alias("keys"),
+            F.first("few").alias("few"),
         )
     )
     blocks, _ = blocking(lines.count())
-    prints = lines.filter(F.col("n") >= LEAST_WORDS).select("line", "n", "print", "low", "high", "keys")
+    prints = lines.filter(F.col("n") >= LEAST_WORDS).select("line", "n", "print", "low", "high", "few")
     shared = met(prints, blocks)
     # Each line with the least of its buckets: a group of any size is linked by as many pairs.
     stars = components(verified(stored(star_pairs(shared, prints)), lines, rows))
-    # What links the groups found so far.
-    cross = verified(stored(cross_pairs(shared, with_groups(prints, stars))), lines, rows)
+    # What links the groups found so far: by all keys.
+    tagged = with_groups(prints, stars)
+    own = found.filter(F.col("n") >= LEAST_WORDS).select("line", "keys").dropDuplicates(["line"])
+    keyed = stored(own.join(tagged, "line").select("line", "group", "n", "keys"))
+    rounds = [stored(cross_pairs(stored(across(keyed, turn)), tagged)) for turn in range(ROUNDS)]
+    cross = verified(stored(functools.reduce(DataFrame.unionByName, rounds).distinct()), lines, rows)
     for side in ("a", "b"):
         of = stars.select(F.col("node").alias(side), F.col("root").alias("_root"))
         cross = cross.join(of, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")
@@ -542,8 +628,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     digits and punctuation, are alike if at least ``SIMILARITY`` of the words are the same by
     edit distance, and all such pairs are linked. Compared are lines that share a key: the
     blocks of the SimHash but one, and the rarest pairs of words in a row, of which lines alike
-    share one for certain. In a bucket of lines with one key, all meet the least line, and
-    then all lines that are not yet of one group meet.
+    share one for certain. By the former and a few of the latter lines meet the least one of
+    a bucket; by all of the latter, all lines meet that are not of one group by then.
     Shorter lines that have a letter are alike if their words are equal. Characters of
     scripts without spaces are words. Of each group connected by likeness one occurrence
     stays: that of the least id (null is least), in a document the first. Lines without words
