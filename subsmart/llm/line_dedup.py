@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subsmart.llm import words
@@ -32,14 +32,20 @@ DISTANCE = 3
 # Lines of a bucket whose pairs one task compares; those of larger buckets are dealt out.
 CROWD = 1024
 # Pairs of words are ordered by how often their slot occurs in so many documents.
-SLOT_BITS, SAMPLED = 20, 10_000
+SLOT_BITS, SAMPLED = 22, 20_000
+# Tasks that count them, and pieces in which the counts are shuffled.
+SAMPLE_TASKS, PIECES = 8, 64
 # Bits of a line's number in a batch, of the level of a pair's slot, and of its hash.
 PLACE_BITS, LEVEL_BITS = 22, 8
 HASH_BITS = 64 - PLACE_BITS - LEVEL_BITS
 # Keys by which lines first meet the least of a bucket, before all keys are used.
 FEW = 3
 # Keys that one task compares, and that a task holds before it deals them out.
-PART_KEYS, HELD_KEYS = 1 << 21, 1 << 20
+PART_KEYS, HELD_KEYS = 1 << 20, 1 << 19
+# Pairs that a task holds before it drops those found again.
+HELD_PAIRS = 1 << 20
+# 64 parities each that lines have, and that lines of so many words have besides.
+NARROW, WIDE, WIDE_WORDS = 2, 8, 64
 # Rounds over the keys; each shuffles its share, so disk holds one share at a time.
 ROUNDS = 4
 BITS = 64
@@ -158,17 +164,28 @@ def simhashes(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def parities(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each line: whether an odd number of its words fall on the bit.
+def parities(hashes: np.ndarray, firsts: np.ndarray, longs: int = NARROW) -> list[np.ndarray]:
+    """64 bits of each line for each of ``longs``: whether an odd number of its words fall on the bit.
 
     A word inserted or deleted turns one bit and a word replaced two at most.
     """
     if len(firsts) < 2:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return [np.zeros(0, np.uint64)] * longs
     bit = np.uint64(1) << (hashes & np.uint64(63))
-    low = (hashes & np.uint64(64)) == 0
-    sides = (np.where(low, bit, np.uint64(0)), np.where(low, np.uint64(0), bit))
-    return tuple(np.bitwise_xor.reduceat(x, firsts[:-1]) for x in sides)
+    side = hashes >> np.uint64(6) & np.uint64(longs - 1)
+    return [np.bitwise_xor.reduceat(np.where(side == i, bit, np.uint64(0)), firsts[:-1]) for i in range(longs)]
+
+
+def wide_parities(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``WIDE`` longs of parities for each line of ``WIDE_WORDS`` words, and where each line's begin (and the end).
+
+    In long lines not alike, most of the ``NARROW`` bits differ by chance too.
+    """
+    count = np.diff(firsts)
+    long = count >= WIDE_WORDS
+    own = np.concatenate([[0], np.cumsum(count[long])])
+    found = parities(hashes[np.repeat(long, count)], own, WIDE)
+    return np.stack(found, axis=1).ravel(), np.concatenate([[0], np.cumsum(WIDE * long)])
 
 
 def prefix_lengths(count: np.ndarray) -> np.ndarray:
@@ -187,13 +204,23 @@ def _slots(grams: np.ndarray) -> np.ndarray:
 
 
 def _slot_counts(batches):
-    total = np.zeros(1 << SLOT_BITS, np.int64)
+    """How often each slot occurs, packed in ``PIECES`` of the slots."""
+    total = np.zeros(1 << SLOT_BITS, np.uint32)
     for batch in batches:
-        hashes, firsts, _, _ = line_words(batch.column(2))
+        hashes, firsts, _, _ = line_words(batch.column(0))
         grams, _ = words.shingle_hashes(hashes, firsts, 2)
-        total += np.bincount(_slots(grams), minlength=1 << SLOT_BITS)
-    slots = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(total[slots])], ["slot", "times"])
+        np.add.at(total, _slots(grams), np.uint32(1))
+    packed = pa.array([x.tobytes() for x in np.split(total, PIECES)], pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(PIECES, dtype=np.int32)), packed], ["piece", "counts"])
+
+
+def _piece_levels(table: pa.Table) -> pa.Table:
+    """The levels of one piece of the slots: 16 for each power of two of their counts."""
+    times = np.zeros((1 << SLOT_BITS) // PIECES, np.int64)
+    for counts in table["counts"]:
+        times += np.frombuffer(counts.as_buffer(), np.uint32)
+    levels = np.minimum(16 * np.log2(np.maximum(times, 1)), (1 << LEVEL_BITS) - 1).astype(np.uint8)
+    return pa.table({"piece": table["piece"][:1], "levels": pa.array([levels.tobytes()], pa.binary())})
 
 
 def gram_levels(rows: DataFrame) -> np.ndarray:
@@ -203,13 +230,13 @@ def gram_levels(rows: DataFrame) -> np.ndarray:
     they are, the same lines are found alike, with more or fewer comparisons.
     """
     one_in = max(1, rows.count() // SAMPLED)
-    sample = rows.filter(F.pmod(F.xxhash64("text_key"), F.lit(one_in)) == 0)
-    counts = sample.mapInArrow(_slot_counts, "slot int, times long").groupBy("slot").agg(F.sum("times").alias("times"))
-    found = counts.filter("times > 1").toArrow()
-    levels = np.zeros(1 << SLOT_BITS, np.uint8)
-    times = found["times"].to_numpy()
-    levels[found["slot"].to_numpy()] = np.minimum(16 * np.log2(times), (1 << LEVEL_BITS) - 1)
-    return levels
+    sample = rows.filter(F.pmod(F.xxhash64("text_key"), F.lit(one_in)) == 0).select("text").repartition(SAMPLE_TASKS)
+    counts = sample.mapInArrow(_slot_counts, "piece int, counts binary")
+    found = counts.groupBy("piece").applyInArrow(_piece_levels, "piece int, levels binary").toArrow()
+    levels = np.zeros((PIECES, (1 << SLOT_BITS) // PIECES), np.uint8)
+    for piece, packed in zip(found["piece"].to_pylist(), found["levels"].to_pylist()):
+        levels[piece] = np.frombuffer(packed, np.uint8)
+    return levels.ravel()
 
 
 def prefix_keys(hashes: np.ndarray, firsts: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,10 +278,14 @@ def few_keys(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _list(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int32)))
+    signed = values.view(np.int64 if values.itemsize == 8 else np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(signed))
 
 
-LINE = "doc_id long, text_key long, number int, line long, n int, print long, low long, high long, few array<int>, keys array<int>"
+LINE = (
+    "doc_id long, text_key long, number int, line long, n int, print long, low long, high long, "
+    "few array<int>, keys array<int>, wide array<long>"
+)
 
 
 def _lines(levels: np.ndarray):
@@ -276,8 +307,9 @@ def _lines(levels: np.ndarray):
                     pa.array(high.view(np.int64)),
                     _list(few.ravel(), FEW * np.arange(len(few) + 1)),
                     _list(keys, offsets),
+                    _list(*wide_parities(hashes, firsts)),
                 ],
-                ["doc_id", "text_key", "number", "line", "n", "print", "low", "high", "few", "keys"],
+                ["doc_id", "text_key", "number", "line", "n", "print", "low", "high", "few", "keys", "wide"],
             )
 
     return hashed
@@ -314,18 +346,61 @@ def _bucket(slot: Column, key: Column) -> Column:
     return F.shiftleft(slot.cast("long"), 32).bitwiseOR(key.bitwiseAND(F.lit((1 << 32) - 1)))
 
 
+def _packed(part: np.ndarray, parts: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """The columns' values of each part as bytes."""
+    order = np.argsort(part, kind="stable")
+    ends = np.cumsum(np.bincount(part, minlength=parts))
+    some = np.flatnonzero(np.diff(ends, prepend=0))
+    cuts = [(ends[i - 1] if i else 0, ends[i]) for i in some]
+    packed = [pa.array([x[i:j].tobytes() for i, j in cuts], pa.binary()) for x in (x[order] for x in columns.values())]
+    return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *packed], ["part", *columns])
+
+
+def _dealt_buckets(parts: int):
+    def deal(held):
+        buckets, lines = (np.concatenate(x) for x in zip(*held))
+        part = (words.mixed(buckets.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        return _packed(part, parts, {"buckets": buckets, "lines": lines})
+
+    def dealt(batches):
+        held, size = [], 0
+        for batch in batches:
+            line, lists = batch.columns
+            held.append((lists.flatten().to_numpy(), np.repeat(line.to_numpy(), lists.value_lengths().to_numpy())))
+            size += len(held[-1][0])
+            if size >= HELD_KEYS:
+                yield deal(held)
+                held, size = [], 0
+        if size:
+            yield deal(held)
+
+    return dealt
+
+
+def _least(table: pa.Table) -> pa.Table:
+    """Of one part, each line with the least line of each of its buckets, if another."""
+    buckets, lines = (np.frombuffer(b"".join(table[x].to_pylist()), np.int64) for x in ("buckets", "lines"))
+    order = np.lexsort((lines, buckets))
+    buckets, lines = buckets[order], lines[order]
+    first = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
+    least = np.repeat(lines[first], np.diff(np.append(first, len(lines))))
+    other = least != lines
+    a, b = _once(least[other], lines[other])
+    return pa.table({"a": a, "b": b})
+
+
 def met(prints: DataFrame, blocks: int) -> DataFrame:
-    """``bucket`` and ``line`` of lines that share one of a few keys with another line.
+    """``b``, a line that shares one of a few keys with others, and ``a``, the least of these.
 
-    ``least`` is the least line of the bucket, which is left out itself. Only the two numbers
-    are shuffled. A bucket is a key and its slot: one of ``FEW``, or the choice of blocks.
+    Only the two numbers are shuffled, packed. A bucket is a key and its slot: one of ``FEW``,
+    or the choice of blocks.
     """
     rarest = F.transform("few", lambda key, i: _bucket(i, key))
     chosen = [_bucket(F.lit(FEW + i), key) for i, key in enumerate(block_keys(blocks))]
-    index = prints.select("line", F.explode(F.concat(rarest, F.array(*chosen))).alias("bucket"))
-    here = Window.partitionBy("bucket")
-    found = index.select("bucket", "line", F.min("line").over(here).alias("least"))
-    return stored(found.filter("least < line"))
+    index = prints.select("line", F.concat(rarest, F.array(*chosen)).alias("buckets"))
+    parts = 1 + prints.count() * (FEW + len(chosen)) // PART_KEYS
+    dealt = index.mapInArrow(_dealt_buckets(parts), "part int, buckets binary, lines binary")
+    return stored(dealt.groupBy("part").applyInArrow(_least, "a long, b long"))
 
 
 def _near(a: str, b: str) -> Column:
@@ -338,35 +413,33 @@ def _near(a: str, b: str) -> Column:
 
 def star_pairs(shared: DataFrame, prints: DataFrame) -> DataFrame:
     """Pairs of each line with the least line of each of its buckets, if near."""
-    pairs = shared.select(F.col("least").alias("a"), F.col("line").alias("b")).distinct()
+    pairs = shared.distinct()
     side = lambda name: prints.select(F.col("line").alias(name), F.struct("n", "low", "high").alias(f"of_{name}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(_near("of_a", "of_b")).select("a", "b")
 
 
+# What of a line goes with each of its keys.
+_PACKED = {"keys": np.uint32, "lines": np.int64, "groups": np.int64, "ns": np.uint16, "lows": np.uint64, "highs": np.uint64}
+
+
 def _dealt(parts: int, turn: int):
-    """Keys of one round with line, length and group, packed by part."""
+    """Keys of one round with line, group, length and parities, packed by part."""
 
     def deal(held):
-        keys, lines, groups, n = (np.concatenate(x) for x in zip(*held))
-        part = keys // np.uint32(ROUNDS) % np.uint32(parts)
-        order = np.argsort(part, kind="stable")
-        ends = np.cumsum(np.bincount(part, minlength=parts))
-        some = np.flatnonzero(np.diff(ends, prepend=0))
-        cuts = [(ends[i - 1] if i else 0, ends[i]) for i in some]
-        # Instead of a group its difference from the line: zero for most.
-        columns = (x[order] for x in (keys, lines, lines ^ groups, n))
-        packed = [pa.array([x[i:j].tobytes() for i, j in cuts], pa.binary()) for x in columns]
-        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *packed], ["part", "keys", "lines", "groups", "ns"])
+        columns = dict(zip(_PACKED, (np.concatenate(x) for x in zip(*held))))
+        return _packed(columns["keys"] // np.uint32(ROUNDS) % np.uint32(parts), parts, columns)
 
     def dealt(batches):
         held, size = [], 0
         for batch in batches:
-            line, group, n, lists = batch.columns
+            line, group, n, low, high = (x.to_numpy() for x in batch.columns[:5])
+            lists = batch.column(5)
             keys = lists.flatten().to_numpy().view(np.uint32)
             own = keys % np.uint32(ROUNDS) == turn
             row = np.repeat(np.arange(len(line)), lists.value_lengths().to_numpy())[own]
-            short = np.minimum(n.to_numpy(), 0xFFFF).astype(np.uint16)
-            held.append((keys[own], line.to_numpy()[row], group.to_numpy()[row], short[row]))
+            short = np.minimum(n, 0xFFFF).astype(np.uint16)
+            # Instead of a group its difference from the line: zero for most.
+            held.append((keys[own], *(x[row] for x in (line, line ^ group, short, low, high))))
             size += len(row)
             if size >= HELD_KEYS:
                 yield deal(held)
@@ -377,36 +450,92 @@ def _dealt(parts: int, turn: int):
     return dealt
 
 
+def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs sorted, each once."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _near_pairs(end, lines, groups, n, lows, highs) -> tuple[np.ndarray, np.ndarray]:
+    """Near pairs of lines of different groups in a bucket, whose lines stand by length up to ``end``."""
+    done, held, size = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+    at, step = np.arange(len(lines)), 0
+    while len(at):
+        step += 1
+        at = at[at + step < end[at]]
+        at = at[n[at] >= n[at + step] * SIMILARITY]
+        x = at[groups[at] != groups[at + step]]
+        y = x + step
+        differ = np.bitwise_count(lows[x] ^ lows[y]) + np.bitwise_count(highs[x] ^ highs[y])
+        near = differ <= 2 * np.floor(n[y] * (1 - SIMILARITY) + 1e-9)
+        x, y = lines[x[near]], lines[y[near]]
+        held.append((np.minimum(x, y), np.maximum(x, y)))
+        size += len(x)
+        if size >= HELD_PAIRS:
+            done, held, size = _once(*(np.concatenate(z) for z in zip(done, *held))), [], 0
+    return _once(*(np.concatenate(z) for z in zip(done, *held)))
+
+
 def _meet(table: pa.Table) -> pa.Table:
-    """Of one part, the lines of keys that lines of different groups have.
+    """Of one part, the near pairs of lines of different groups that share a key.
 
     Lines of a key are a bucket as long as the next longer one is close enough in length.
+    Of a bucket of over ``CROWD`` lines, some of different groups, the lines are returned instead.
     """
-    kinds = {"keys": np.uint32, "lines": np.int64, "groups": np.int64, "ns": np.uint16}
-    keys, lines, groups, n = (np.frombuffer(b"".join(table[x].to_pylist()), kind) for x, kind in kinds.items())
+    keys, lines, groups, n, lows, highs = (
+        np.frombuffer(b"".join(table[x].to_pylist()), kind) for x, kind in _PACKED.items()
+    )
     bucket = keys.astype(np.uint64) << np.uint64(32) | n
     order = np.argsort(bucket)
-    keys, lines, groups, n, bucket = keys[order], lines[order], (groups ^ lines)[order], n[order], bucket[order]
+    keys, lines, n, bucket, groups = keys[order], lines[order], n[order], bucket[order], (groups ^ lines)[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (n[:-1] < n[1:] * SIMILARITY)
     first = np.flatnonzero(new)
     crowd = np.diff(np.append(first, len(keys)))
     several = np.minimum.reduceat(groups, first) < np.maximum.reduceat(groups, first)
-    kept = np.repeat(several, crowd)
-    fill = lambda x: np.repeat(x[several], crowd[several])
-    return pa.table({"bucket": fill(bucket[first].view(np.int64)), "line": lines[kept], "crowd": fill(crowd)})
+    few, many = several & (crowd <= CROWD), several & (crowd > CROWD)
+    kept = np.repeat(few, crowd)
+    end = np.repeat(np.cumsum(crowd[few]), crowd[few])
+    a, b = _near_pairs(end, *(x[kept] for x in (lines, groups, n, lows[order], highs[order])))
+    crowded = lines[np.repeat(many, crowd)]
+    of = lambda x: pa.array(np.repeat(x[many], crowd[many]))
+    none = lambda size: pa.nulls(size, pa.int64())
+    columns = {
+        "a": [pa.array(a), pa.array(crowded)],
+        "b": [pa.array(b), none(len(crowded))],
+        "bucket": [none(len(a)), of(bucket[first].view(np.int64))],
+        "crowd": [none(len(a)), of(crowd)],
+    }
+    return pa.table({k: pa.chunked_array(x, pa.int64()) for k, x in columns.items()})
 
 
 def across(keyed: DataFrame, turn: int) -> DataFrame:
-    """``bucket``, ``line`` and ``crowd`` of lines that share a key with one of another group.
+    """Near pairs ``a`` and ``b`` of lines of different groups that share a key.
 
-    ``keyed`` has ``line``, ``group``, ``n`` and ``keys``. There are more keys than anything
-    else, so they are shuffled packed, by parts whose number grows with the keys.
+    Where ``b`` is null, ``a`` is a line of ``bucket``, whose ``crowd`` of lines is too large for
+    one task. ``keyed`` has ``line``, ``group``, ``n``, ``low``, ``high`` and ``keys``. There are
+    more keys than anything else, so they are shuffled packed, by parts whose number grows with
+    the keys.
     """
+    keyed = keyed.select("line", "group", "n", "low", "high", "keys")
     total = keyed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
-    packed = "part int, keys binary, lines binary, groups binary, ns binary"
+    packed = ", ".join(["part int", *(f"{x} binary" for x in _PACKED)])
     dealt = keyed.mapInArrow(_dealt(1 + total // ROUNDS // PART_KEYS, turn), packed)
-    return dealt.groupBy("part").applyInArrow(_meet, "bucket long, line long, crowd long")
+    return dealt.groupBy("part").applyInArrow(_meet, "a long, b long, bucket long, crowd long")
+
+
+def closer(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The ``pairs`` whose ``wide`` parities are few apart, and those of lines that have none."""
+    for side in ("a", "b"):
+        of = keyed.select(F.col("line").alias(side), F.col("n").alias(f"_n_{side}"), F.col("wide").alias(f"_wide_{side}"))
+        pairs = pairs.join(of, side)
+    bits = [F.bit_count(F.get("_wide_a", F.lit(i)).bitwiseXOR(F.get("_wide_b", F.lit(i)))) for i in range(WIDE)]
+    differ = functools.reduce(lambda x, y: x + y, [F.coalesce(x, F.lit(0)) for x in bits])
+    longer = F.greatest("_n_a", "_n_b")
+    return pairs.filter(differ <= 2 * F.floor(longer * (1 - SIMILARITY) + 1e-9)).select("a", "b")
 
 
 def cross_pairs(shared: DataFrame, tagged: DataFrame) -> DataFrame:
@@ -592,10 +721,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     stars = components(verified(stored(star_pairs(shared, prints)), lines, rows))
     # What links the groups found so far: by all keys.
     tagged = with_groups(prints, stars)
-    own = found.filter(F.col("n") >= LEAST_WORDS).select("line", "keys").dropDuplicates(["line"])
-    keyed = stored(own.join(tagged, "line").select("line", "group", "n", "keys"))
-    rounds = [stored(cross_pairs(stored(across(keyed, turn)), tagged)) for turn in range(ROUNDS)]
-    cross = verified(stored(functools.reduce(DataFrame.unionByName, rounds).distinct()), lines, rows)
+    own = found.filter(F.col("n") >= LEAST_WORDS).select("line", "keys", "wide").dropDuplicates(["line"])
+    keyed = stored(own.join(tagged, "line"))
+    rounds = functools.reduce(DataFrame.unionByName, [stored(across(keyed, turn)) for turn in range(ROUNDS)])
+    pairs = rounds.filter("b is not null").select("a", "b")
+    crowded = rounds.filter("b is null").select("bucket", F.col("a").alias("line"), "crowd")
+    if crowded.limit(1).count():
+        pairs = pairs.unionByName(cross_pairs(crowded, keyed.drop("keys", "wide")))
+    cross = verified(stored(closer(pairs.distinct(), keyed)), lines, rows)
     for side in ("a", "b"):
         of = stars.select(F.col("node").alias(side), F.col("root").alias("_root"))
         cross = cross.join(of, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")

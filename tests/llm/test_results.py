@@ -212,6 +212,62 @@ def test_lines_alike_share_a_key_in_any_order():
             assert differ <= 2 * (n // 5)
 
 
+def test_unlike_long_lines_are_refused_by_parities(spark, monkeypatch):
+    """Their texts are not compared, though they share a passage and with it keys."""
+    rng, compared, verified = np.random.default_rng(10), [], line_dedup.verified
+    passage = some_words(60, rng)
+    texts = [(i, " ".join(passage + some_words(90, rng))) for i in range(40)]
+    texts.append((40, " ".join(changed(texts[7][1].split(), 0.2, rng))))
+    monkeypatch.setattr(line_dedup, "verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    found = line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert [r.doc_id for r in found if r.n_removed] == [40]
+    assert compared[-1] <= 1
+
+
+@pytest.mark.parametrize("crowd", [4, 1024])
+def test_near_pairs_of_a_part(monkeypatch, crowd):
+    """All near pairs of lines of a key against a loop over all pairs, or the lines if they are many."""
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    rng, size = np.random.default_rng(11), 300
+    lines = rng.integers(-(2**62), 2**62, 90)[np.arange(size) % 90]
+    own = {x: (int(rng.integers(5, 60)), x if rng.random() < 0.7 else int(min(lines)), *(int(z) for z in np.bitwise_and.reduce(rng.integers(0, 2**64, (4, 2), np.uint64)))) for x in lines.tolist()}
+    keys = rng.integers(0, 40, size).astype(np.uint32)
+    n, groups, lows, highs = (np.array([own[x][i] for x in lines.tolist()], kind) for i, kind in enumerate([np.uint16, np.int64, np.uint64, np.uint64]))
+    columns = dict(zip(line_dedup._PACKED, (keys, lines, lines ^ groups, n, lows, highs)))
+    found = line_dedup._meet(pa.table({k: pa.array([x[:100].tobytes(), x[100:].tobytes()], pa.binary()) for k, x in columns.items()})).to_pylist()
+    pairs = {(r["a"], r["b"]) for r in found if r["b"] is not None}
+    for r in found:
+        if r["b"] is None:
+            assert r["crowd"] > crowd
+    by_bucket: dict[int, set] = {}
+    for r in found:
+        if r["b"] is None:
+            by_bucket.setdefault(r["bucket"], set()).add(r["a"])
+    crowded = {tuple(sorted((x, y))) for some in by_bucket.values() for x in some for y in some}
+    expected = set()
+    for i in range(size):
+        for j in range(size):
+            x, y = own[int(lines[i])], own[int(lines[j])]
+            differ = (x[2] ^ y[2]).bit_count() + (x[3] ^ y[3]).bit_count()
+            longer = max(x[0], y[0])
+            if keys[i] == keys[j] and x[1] != y[1] and min(x[0], y[0]) >= 0.8 * longer and differ <= 2 * (longer // 5) and lines[i] < lines[j]:
+                expected.add((int(lines[i]), int(lines[j])))
+    assert pairs <= expected <= pairs | crowded
+    assert bool(by_bucket) == (crowd == 4) and len(pairs) > 0
+
+
+def test_lines_alike_are_few_wide_parities_apart():
+    rng = np.random.default_rng(12)
+    for n in [64, 79, 150, 400]:
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = a.copy()
+        b[rng.choice(n, n // 5, replace=False)] = rng.integers(0, 1 << 63, n // 5).astype(np.uint64)
+        found, offsets = line_dedup.wide_parities(np.concatenate([a, b, a[:20]]), np.array([0, n, 2 * n, 2 * n + 20]))
+        assert offsets.tolist() == [0, line_dedup.WIDE, 2 * line_dedup.WIDE, 2 * line_dedup.WIDE]
+        x, y = np.split(found, 2)
+        assert 0 < np.bitwise_count(x ^ y).sum() <= 2 * (n // 5)
+
+
 def test_lines_of_scripts_without_spaces(spark):
     line = "今日は天気がとても良いので公園へ散歩に行きました。"
     thai = "วันนี้อากาศดีมากเราจึงไปเดินเล่นที่สวนสาธารณะ"
